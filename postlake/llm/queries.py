@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import mixing, packing, splitting
+from postlake.llm import conversations, mixing, packing, splitting, truncation
+from postlake.plans import core_queries
 from postlake.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,45 @@ def budget(spark: SparkSession, d: str, name: str) -> tuple[int, int]:
     return r["capacity_tokens"], r["overlap_tokens"]
 
 
+_PRE = r"(?i)^[\s\x{00a0}]*(?:(?:" + "|".join(conversations.PREFIXES) + r")[\s\x{00a0}]*(?:\[\d+\]|\(\d+\))?[\s\x{00a0}]*[:：][\s\x{00a0}]*)+"
+_GAP = r"[\s\x{00a0}\x{200b}\x{feff}]+"
+
+P3_SQL = rf"""
+WITH said AS (
+  SELECT m.nid, delivered_us, sender_email, subject, trim(internet_message_id) AS id0,
+         CASE WHEN length(regexp_replace(conversation_topic, '{_GAP}', '', 'g')) > 0
+              THEN lower(regexp_replace(regexp_replace(conversation_topic, '{_PRE}', ''), '{_GAP}', '', 'g')) END AS topic
+  FROM messages m JOIN message_bodies b ON b.nid = m.nid
+  WHERE length(regexp_replace(body_plain, '{_GAP}', '', 'g')) > 0
+    AND m.nid NOT IN ({core_queries.P6_SQL})),
+told AS (
+  SELECT *, EXISTS (SELECT 1 FROM accounts a WHERE lower(trim(a.address)) = lower(trim(sender_email))) AS own,
+         row_number() OVER (PARTITION BY topic ORDER BY delivered_us, nid) AS turn
+  FROM said WHERE topic IS NOT NULL),
+kept AS (
+  SELECT topic, min(nid) AS conv_nid FROM told GROUP BY topic
+  HAVING bool_and(sender_email IS NOT NULL AND length(regexp_replace(sender_email, '{_GAP}', '', 'g')) > 0 AND delivered_us IS NOT NULL)
+     AND bool_or(own) AND bool_or(NOT own)
+     AND NOT bool_or(turn = 1 AND coalesce(regexp_matches(subject, '{_PRE}'), false)))
+SELECT conv_nid, CAST(turn AS INTEGER) AS turn, nid FROM told JOIN kept ON kept.topic = told.topic
+"""
+
+
+@query(P3_SQL)
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return conversations.conversations(table(spark, d, "messages"), table(spark, d, "message_bodies"), table(spark, d, "accounts")).select("conv_nid", "turn", "nid")
+
+
+@query()
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_values(table(spark, d, "hx_messages"))
+
+
+@query()
+def p5_report(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_report(table(spark, d, "hx_messages"))
+
+
 @query()
 def p8_pack(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), budget(spark, d, "pack-large")[0])
