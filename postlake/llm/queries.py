@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import conversations, mixing, packing, splitting, truncation
+from postlake.llm import conversations, markup, mixing, packing, splitting, truncation
 from postlake.plans import core_queries
 from postlake.session import table
 
@@ -103,3 +103,13 @@ def p10_split(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def p10_split_large(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split(table(spark, d, "documents"), *budget(spark, d, "split-large"))
+
+
+@query()
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.elements(table(spark, d, "message_bodies"))
+
+
+@query()
+def p7_text(spark: SparkSession, d: str) -> DataFrame:
+    return markup.texts(table(spark, d, "message_bodies"))
