@@ -102,7 +102,7 @@ def judged(hx: DataFrame) -> DataFrame:
     vals = values(hx)
     with_lines = lines(vals)
     grams = trigram_counts(with_lines)
-    last = F.element_at("lines", -1)
+    last = F.try_element_at("lines", F.lit(-1))
     n = F.size(last)
     base = with_lines.select(
         "rec_id",
