@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import conversations, markup, mixing, packing, splitting, truncation
+from postlake.llm import conversations, markup, mixing, packing, quoted, splitting, truncation
 from postlake.plans import core_queries
 from postlake.session import table
 
@@ -54,6 +54,16 @@ SELECT conv_nid, CAST(turn AS INTEGER) AS turn, nid FROM told JOIN kept ON kept.
 """
 
 
+@query()
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return quoted.inherited_lines(table(spark, d, "messages"), table(spark, d, "message_bodies"))
+
+
+@query()
+def p1_text(spark: SparkSession, d: str) -> DataFrame:
+    return quoted.own_text(table(spark, d, "messages"), table(spark, d, "message_bodies"))
+
+
 @query(P3_SQL)
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return conversations.conversations(table(spark, d, "messages"), table(spark, d, "message_bodies"), table(spark, d, "accounts")).select("conv_nid", "turn", "nid")
