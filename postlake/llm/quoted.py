@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,19 +26,24 @@ from postlake.session import materialise
 
 #: Most differing bits, most edits a character, fewest characters of a sentence that is compared.
 BITS, EDITS, LEAST_CHARS = 3, 0.1, 25
-#: A sentence of so many conversations is a common phrase, not taken from one of them.
-COMMON_TOPICS = 3
+#: A sentence said so often, and in more than one conversation, is a common phrase, not taken from one of them.
+COMMON = 3
 #: Of a mail's own sentences at most this share may be found before; else it is a copy of that mail.
 COPY_SHARE = 0.5
 #: Boilerplate: in so many mails at least, and of its occurrences so many at the very end.
 BOILERPLATE_MAILS, BOILERPLATE_TAIL = 5, 0.9
 
-UNITS = "array<struct<first:int,last:int,own:boolean,tail:boolean,fp:long,num:long,text:string>>"
+UNITS = "array<struct<first:int,last:int,own:boolean,tail:boolean,fp:long,num:long,th:long,text:string>>"
 _SIGNS = re.compile(r"^\s{0,3}(?:[A-Za-z]{0,4}[>|]\s?)+")
 _END = re.compile(r"(?<=[.!?])\s+")
 _WORD = re.compile(r"\w+")
 
 
+def _long(text: str) -> int:
+    """A hash that is the same in every process."""
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
+
+
 @functools.lru_cache(maxsize=200_000)
 def _vector(word: str) -> bytes:
     bits = np.unpackbits(np.frombuffer(hashlib.blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), np.uint8))
@@ -120,35 +126,43 @@ def read(bodies: DataFrame) -> DataFrame:
                 units.append(sentences(body, kinds))
             flat = [u[4] for us in units for u in us]
             prints = iter(simhash(flat).tolist())
-            numbers = (hash(tuple(w for w in t.split() if not w.isalpha())) for t in flat)
-            rows = [[{"first": a, "last": b, "own": own, "tail": tail, "fp": next(prints), "num": next(numbers), "text": t} for a, b, own, tail, t in us] for us in units]
+            rows = [
+                [{"first": a, "last": b, "own": own, "tail": tail, "fp": next(prints), "num": _long(" ".join([w for w in t.split() if not w.isalpha()])), "th": _long(t), "text": t} for a, b, own, tail, t in us]
+                for us in units
+            ]
             yield pd.DataFrame({"nid": pdf["nid"], "marked": marked, "units": rows})
 
     return bodies.where(has_text(F.col("body_plain"))).select("nid", "body_plain").mapInPandas(run, f"nid long, marked array<int>, units {UNITS}")
 
 
 def tables(d: DataFrame) -> DataFrame:
-    """Hamming partition tables: a row for each quarter of the fingerprint; of two fingerprints within
-    three bits one quarter is equal."""
+    """Hamming partition tables: a row for each quarter of the fingerprint, with its bucket as key. Of two
+    fingerprints within three bits one quarter is equal. A bucket is of one conversation and of one
+    sequence of numbers in the sentence."""
     quarter = lambda i: F.shiftrightunsigned("fp", 16 * i).bitwiseAND(0xFFFF)
-    return d.withColumn("q", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), quarter(i).alias("v")) for i in range(4)]))).select("*", F.col("q.i").alias("qi"), F.col("q.v").alias("qv")).drop("q")
+    return d.withColumn("bucket", F.explode(F.array(*[F.xxhash64("topic", "num", F.lit(i), quarter(i)) for i in range(4)])))
 
 
-def earlier(units: DataFrame) -> DataFrame:
-    """(topic, th, since): when each text of a conversation was first said, near texts included.
+def earlier(talk: DataFrame, texts: DataFrame) -> DataFrame:
+    """(topic, th, since): when each own text of a conversation was first said, near texts included.
 
-    units: topic, th, fp, num, text, own, at. Equal texts are combined first, so a bucket holds
-    distinct texts of one conversation with the same numbers in them; no pairs of copies arise.
+    talk: topic, th, fp, num, own, us, begun (when the conversation began); texts: th, text. Equal texts
+    are combined first, so that no pairs of copies arise; the text itself is fetched only for what
+    the fingerprints leave.
     """
-    d = units.groupBy("topic", "th").agg(F.min("at").alias("at"), F.first("fp").alias("fp"), F.first("num").alias("num"), F.first("text").alias("text"), F.max("own").alias("own"))
-    d = materialise(d, "texts")
-    t = tables(d)
-    ask = t.where("own").select("topic", "num", "qi", "qv", F.col("th").alias("a"), F.col("fp").alias("fa"), F.col("text").alias("ta"), F.col("at").alias("mine"))
-    have = t.select("topic", "num", "qi", "qv", F.col("th").alias("b"), F.col("fp").alias("fb"), F.col("text").alias("tb"), F.col("at").alias("since"))
-    near = ask.join(have, ["topic", "num", "qi", "qv"]).where((F.col("a") != F.col("b")) & (F.col("since") < F.col("mine")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= BITS))
-    near = near.where(F.levenshtein("ta", "tb") <= EDITS * F.greatest(F.length("ta"), F.length("tb")))
-    first = near.groupBy("topic", F.col("a").alias("th")).agg(F.min("since").alias("near"))
-    return d.where("own").join(first, ["topic", "th"], "left").select("topic", "th", F.least("at", "near").alias("since"))
+    d = talk.groupBy("topic", "th").agg(F.min("us").alias("us"), F.min(F.when(F.col("own"), F.col("us"))).alias("own_us"), F.first("fp").alias("fp"), F.first("num").alias("num"), F.max("own").alias("own"), F.min("begun").alias("begun"))
+    d = materialise(d, "said")
+    # The first mail of a conversation takes nothing from it.
+    ask = tables(d.where("own AND own_us > begun")).select("bucket", "topic", F.col("th").alias("a"), F.col("fp").alias("fa"), F.col("us").alias("mine"))
+    have = tables(d).select("bucket", F.col("th").alias("b"), F.col("fp").alias("fb"), F.col("us").alias("since"))
+    near = ask.join(have, "bucket").where((F.col("a") != F.col("b")) & (F.col("since") < F.col("mine")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= BITS))
+    near = materialise(near.select("topic", "a", "b", "since").distinct(), "near")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("th")).distinct()
+    words = materialise(texts.join(wanted, "th", "left_semi").groupBy("th").agg(F.first("text").alias("text")), "words")
+    both = near.join(words.select(F.col("th").alias("a"), F.col("text").alias("ta")), "a").join(words.select(F.col("th").alias("b"), F.col("text").alias("tb")), "b")
+    close = both.where(F.levenshtein("ta", "tb") <= EDITS * F.greatest(F.length("ta"), F.length("tb")))
+    first = close.groupBy("topic", F.col("a").alias("th")).agg(F.min("since").alias("near"))
+    return d.where("own").join(first, ["topic", "th"], "left").select("topic", "th", F.least("us", "near").alias("since"))
 
 
 def inherited_lines(messages: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -160,17 +174,18 @@ def inherited_lines(messages: DataFrame, bodies: DataFrame) -> DataFrame:
     """
     told = materialise(read(bodies), "parts")
     marked = told.select("nid", F.explode("marked").alias("line_no"))
-    at = F.when(F.col("delivered_us").isNotNull(), F.struct("delivered_us", "nid"))
-    when = messages.select("nid", "delivered_us").join(bodies.select("nid", topic_key(F.col("conversation_topic")).alias("topic")), "nid")
-    units = told.select("nid", F.posexplode("units").alias("no", "u")).select("nid", "no", "u.*").withColumn("th", F.xxhash64("text"))
-    talk = units.join(when, "nid").where("topic IS NOT NULL AND delivered_us IS NOT NULL").withColumn("at", at).withColumn("topic", F.xxhash64("topic"))
-    talk = materialise(talk.select("nid", "no", "first", "last", "own", "fp", "num", "text", "th", "topic", "at"), "talk")
-    since = earlier(talk)
-    common = since.groupBy("th").agg(F.count("*").alias("topics")).where(F.col("topics") >= COMMON_TOPICS).select("th")
-    rare = since.join(common, "th", "left_anti")
-    mine = talk.where("own").select("nid", "no", "first", "last", "topic", "th", "at")
+    when = messages.select("nid", F.col("delivered_us").alias("us")).join(bodies.select("nid", F.xxhash64(topic_key(F.col("conversation_topic"))).alias("topic"), topic_key(F.col("conversation_topic")).isNotNull().alias("has")), "nid").where("has AND us IS NOT NULL").drop("has")
+    began = when.groupBy("topic").agg(F.min("us").alias("begun"), F.count("*").alias("mails")).where("mails > 1").drop("mails")
+    units = told.select("nid", F.posexplode("units").alias("no", "u"))
+    talk = units.select("nid", "no", "u.first", "u.last", "u.own", "u.fp", "u.num", "u.th").join(when.join(began, "topic"), "nid")
+    talk = materialise(talk, "talk")
+    since = earlier(talk, units.select("u.th", "u.text"))
+    # A phrase of several conversations is common.
+    common = talk.where("own").groupBy("th").agg(F.min("topic").alias("one"), F.max("topic").alias("other"), F.count("*").alias("n")).where((F.col("n") >= COMMON) & (F.col("one") != F.col("other"))).select("th")
+    mine = talk.where("own AND us > begun").select("nid", "no", "first", "last", "topic", "th", "us")
     # Only what was said before is looked up again, so most sentences end here.
-    before = mine.join(rare, ["topic", "th"]).where(F.col("since") < F.col("at")).select("nid", "no", "first", "last")
+    before = mine.join(since, ["topic", "th"]).where(F.col("since") < F.col("us")).join(common, "th", "left_anti").select("nid", "no", "first", "last")
+    units = units.select("nid", "no", "u.*")
     total = units.where("own").groupBy("nid").agg(F.count("*").alias("n"))
     found = before.groupBy("nid").agg(F.count("*").alias("k")).join(total, "nid").where(F.col("k") <= COPY_SHARE * F.col("n")).select("nid")
     # Two sentences in a row: one alone may be what people say anyway.
