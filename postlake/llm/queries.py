@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import conversations, markup, mixing, packing, quoted, splitting, truncation
+from postlake.llm import conversations, markup, mixing, packing, pii, quoted, splitting, truncation
 from postlake.plans import core_queries
 from postlake.session import table
 
@@ -64,6 +64,20 @@ def p1_text(spark: SparkSession, d: str) -> DataFrame:
     return quoted.own_text(table(spark, d, "messages"), table(spark, d, "message_bodies"))
 
 
+def _people(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
+    return tuple(table(spark, d, t) for t in ("messages", "message_bodies", "recipients", "name_forms"))
+
+
+@query()
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.found(*_people(spark, d))
+
+
+@query()
+def p2_text(spark: SparkSession, d: str) -> DataFrame:
+    return pii.masked(*_people(spark, d))
+
+
 @query(P3_SQL)
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return conversations.conversations(table(spark, d, "messages"), table(spark, d, "message_bodies"), table(spark, d, "accounts")).select("conv_nid", "turn", "nid")
