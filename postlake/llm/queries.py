@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import conversations, markup, mixing, packing, pii, quoted, splitting, truncation
+from postlake.llm import conversations, markup, mixing, names, packing, pii, quoted, splitting, truncation
 from postlake.plans import core_queries
 from postlake.session import table
 
@@ -83,6 +83,20 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return conversations.conversations(table(spark, d, "messages"), table(spark, d, "message_bodies"), table(spark, d, "accounts")).select("conv_nid", "turn", "nid")
 
 
+def _named(spark: SparkSession, d: str) -> DataFrame:
+    return names.entities(table(spark, d, "messages"), table(spark, d, "recipients"), table(spark, d, "name_forms"))
+
+
+@query()
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.pairs(_named(spark, d))
+
+
+@query()
+def p4_entities(spark: SparkSession, d: str) -> DataFrame:
+    return _named(spark, d)
+
+
 @query()
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return truncation.cut_values(table(spark, d, "hx_messages"))
