@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,21 @@ def session(app: str = "postlake", master: str | None = None, **conf: str) -> Sp
     return b.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a context, so that they need no copy of their own."""
+    sc = spark.sparkContext
+    if getattr(sc, "_postlake_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    held = tempfile.mkdtemp(prefix="postlake-ship-")
+    atexit.register(shutil.rmtree, held, ignore_errors=True)
+    with zipfile.ZipFile(f"{held}/postlake.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(f"{held}/postlake.zip")
+    sc._postlake_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

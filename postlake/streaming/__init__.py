@@ -1 +1 @@
-"""See README.md."""
+"""Streaming extension."""
