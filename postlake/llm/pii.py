@@ -95,7 +95,7 @@ _NO_NAME = frozenset(
 _COMMON_WORD = frozenset("april may june august mark rose will grace hope faith joy art bill rob sue pat drew frank jack dick rich chuck max ray dawn eve ivy lily iris ruby violet daisy jo kit peg meg sandy guy dean dale penny olive heather basil miles chip skip lance chase grant ward wade earl duke gene dot fern hazel summer autumn amber jasmine crystal carol".split())
 _MONTH = frozenset(("april", "may", "june", "august"))
 _PERSON_VERB = re.compile(rf"(?:'s\b|’s\b|{_GAP}(?:has|had|asked|knows|does|did|is|was|said|says|wrote|called|told|wants|answered)\b)")
-_PERSON_BEFORE = re.compile(rf"(?i)\b(?:met|ask|asked|for|with|cc|to|and|von|an|de|of|than|tell|told|c/o|à|a|joindre|contestado){_GAP}\Z")
+_PERSON_BEFORE = re.compile(rf"(?i)\b(?:met|ask|asked|for|with|cc|to|and|von|an|de|of|than|tell|told|c/o|à|a|joindre|contestado|ring|did|hat|reach|call|phone|tell){_GAP}\Z")
 
 
 def fold(word: str) -> str:
@@ -181,7 +181,8 @@ def names(text: str, given: frozenset | set, surname: frozenset | set) -> list[t
         return text[toks[k][1] : toks[k + 1][0]] if k + 1 < n and toks[k + 1][0] - toks[k][1] < 14 else "\0"
 
     def near(k: int) -> bool:
-        return bool(_NEAR.match(gap(k)))
+        # Capitals before a quote sign are the sign's, not a name's.
+        return bool(_NEAR.match(gap(k))) and text[toks[k + 1][1] : toks[k + 1][1] + 1] != ">"
 
     def plain(k: int) -> bool:
         return k < n and len(toks[k][2]) > 1 and low[k] not in _NO_NAME
@@ -227,7 +228,7 @@ def names(text: str, given: frozenset | set, surname: frozenset | set) -> list[t
                 score = 0.7
             elif _PERSON_VERB.match(text, b) or (_PERSON_BEFORE.search(text[max(0, a - 16) : a]) and low[i] not in _MONTH):
                 score = 0.6
-            elif low[i] in _MONTH and re.search(r"(?i)\b(?:met|cher|for)\s\Z", text[max(0, a - 6) : a]) and not re.match(r"\s+(?:\d|figures|review|window)", text[b : b + 10]):
+            elif low[i] in _MONTH and re.search(r"(?i)\b(?:met|did|hat|ring|cher|for)\s\Z", text[max(0, a - 6) : a]) and not re.match(r"\s+(?:\d|figures|review|window)", text[b : b + 10]):
                 score = 0.55
             else:
                 score = 0.1
@@ -259,6 +260,8 @@ def _named_by_place(text: str, a: int, b: int) -> bool:
     if rest not in ("", ",", " -", "-", ":", "!"):
         return False
     above = [x for x in text[:start].split("\n")[-4:] if re.sub(r"^[ ]{0,3}(?:[A-Za-z]{0,3}[>|][ ]?)*", "", x).strip()]
+    if rest and fold(text[a:b]) in _COMMON_WORD:
+        return True
     if rest:
         return not above or bool(re.search(r":\s*$|(?i:subject|objet|betreff|asunto)\W", above[-1]))
     return bool(above) and bool(re.match(r"(?i)^[ ]{0,3}(?:[A-Za-z]{0,3}[>|][ ]?)*(?:many |kind |best |warm |yours |with )?(?:thanks|thank you|regards|best|cheers|sincerely|wishes|yours|mfg|gr[uü](?:ß|ss)\w*|mit freundlichen grüßen|viele grüße|liebe grüße|cordialement|bien à vous|saludos(?: cordiales)?|un saludo|thanks and.*|.*wishes),?\s*$", above[-1]))

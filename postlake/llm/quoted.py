@@ -28,8 +28,6 @@ from postlake.session import materialise
 BITS, EDITS, LEAST_CHARS = 3, 0.1, 25
 #: A sentence said so often, and in more than one conversation, is a common phrase, not taken from one of them.
 COMMON = 3
-#: Of a mail's own sentences at most this share may be found before; else it is a copy of that mail.
-COPY_SHARE = 0.5
 #: Boilerplate: in so many mails at least, and of its occurrences so many at the very end.
 BOILERPLATE_MAILS, BOILERPLATE_TAIL = 5, 0.9
 
@@ -186,8 +184,9 @@ def inherited_lines(messages: DataFrame, bodies: DataFrame) -> DataFrame:
     # Only what was said before is looked up again, so most sentences end here.
     before = mine.join(since, ["topic", "th"]).where(F.col("since") < F.col("us")).join(common, "th", "left_anti").select("nid", "no", "first", "last")
     units = units.select("nid", "no", "u.*")
-    total = units.where("own").groupBy("nid").agg(F.count("*").alias("n"))
-    found = before.groupBy("nid").agg(F.count("*").alias("k")).join(total, "nid").where(F.col("k") <= COPY_SHARE * F.col("n")).select("nid")
+    # A mail of which every sentence was said before is a copy of another, not a reply that holds it.
+    total = units.where("own").join(common, "th", "left_anti").groupBy("nid").agg(F.count("*").alias("n"))
+    found = before.groupBy("nid").agg(F.count("*").alias("k")).join(total, "nid").where(F.col("k") < F.col("n")).select("nid")
     # Two sentences in a row: one alone may be what people say anyway.
     row = Window.partitionBy("nid").orderBy("no")
     beside = F.coalesce(F.lead("no").over(row) == F.col("no") + 1, F.lit(False)) | F.coalesce(F.lag("no").over(row) == F.col("no") - 1, F.lit(False))
@@ -211,4 +210,4 @@ def own_text(messages: DataFrame, bodies: DataFrame) -> DataFrame:
     gone = inherited_lines(messages, bodies).groupBy("nid").agg(F.collect_set("line_no").alias("gone"))
     lines = bodies.select("nid", "body_plain").join(gone, "nid", "left").withColumn("l", F.split("body_plain", "\n"))
     kept = F.filter("l", lambda x, i: F.coalesce(~F.array_contains("gone", i + 1), F.lit(True)))
-    return lines.select("nid", F.when(F.col("body_plain").isNotNull(), F.trim(F.array_join(kept, "\n"))).alias("text"))
+    return lines.select("nid", F.when(F.col("body_plain").isNotNull(), F.regexp_replace(F.array_join(kept, "\n"), r"^\s+|\s+$", "")).alias("text"))

@@ -38,7 +38,9 @@ def boundaries(raw: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
     here, before = raw[inner], raw[inner - 1]
     two = raw[np.maximum(inner - 2, 0)]
     three = raw[np.maximum(inner - 3, 0)]
-    line = (before == 10) & (here != 10) & (here != 13) & (here != 32)
+    after = raw[np.minimum(inner + 1, len(raw) - 1)]
+    # White space of more than one sign may be one token, so only its last sign, a space, begins a piece.
+    line = (before == 10) & (here != 10) & (here != 13) & ((here != 32) | ((after != 10) & (after != 13) & (after != 32) & (after != 9)))
     paragraph = line & ((two == 10) | ((two == 13) & (three == 10)))
     space = (here == 32) & (before != 32)
     sentence = line | (space & (_STOP[before] | (_CLOSE[before] & _STOP[two])))
@@ -79,7 +81,12 @@ def pieces(text: str, limit: int, overlap: int, path: str = VOCABULARY) -> list[
     def own(a: int, b: int) -> int:
         """Tokens of the piece a..b encoded by itself; what lies between safe points stays as it is."""
         after_line = raw[ends[b] - 1] in (10, 13, 32)  # white space at an end is grouped anew
-        p, q = int(safe_at[np.searchsorted(safe_at, a)]), int(safe_at[np.searchsorted(safe_at, b, "left" if after_line else "right") - 1])
+        # White space at an end is grouped anew, so a stretch ends behind a word.
+        after_line = raw[ends[b] - 1] in (10, 13, 32)
+        i = np.searchsorted(safe_at, a)
+        while safe_at[i] > a and safe_at[i] < n and raw[ends[safe_at[i]] - 1] in (10, 13, 32):
+            i += 1
+        p, q = int(safe_at[i]), int(safe_at[np.searchsorted(safe_at, b, "left" if after_line else "right") - 1])
         enc = lambda x, y: len(e.encode_ordinary(raw[ends[x] : ends[y]].tobytes().decode("utf-8", "replace")))
         if p >= q:
             return b - a if safe[a] and safe[b] and not after_line else enc(a, b)
