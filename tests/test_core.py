@@ -310,3 +310,16 @@ def test_every_query_agrees_with_its_sql(spark, sf):
             res = con.execute(core_queries.ORACLES[name])
             at = [[x[0] for x in res.description].index(c) for c in cols]
             assert got == sorted([norm(r[i]) for i in at] for r in res.fetchall()), name
+
+
+def test_facts_are_joined_back_to_hot_and_cold_rows(spark):
+    from postlake.operators.skew import join_facts
+
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 20}", i) for i in range(600)] + [(900, None, 1), (901, "lone", 1)], "id long, k string, clash long")
+    facts = rows.where("k is not null and k <> 'lone'").groupBy("k").agg(F.count("*").alias("n"), F.sum("id").alias("s"))
+    for parts in (2, 1000):
+        for how in ("inner", "left"):
+            got = {r["id"]: r["s"] for r in join_facts(rows, facts, ["k"], parts=parts, how=how).collect()}
+            want = {r["id"]: r["s"] for r in rows.join(facts.drop("n"), "k", how).collect()}
+            assert got == want
+    assert join_facts(rows.limit(0), facts.limit(0), ["k"]).count() == 0
