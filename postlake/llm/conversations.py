@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.operators.dedup import further_copies
+from postlake.operators.skew import join_facts
 from postlake.session import materialise
 
 #: Reply and forward prefixes of mail clients in several languages.
@@ -112,8 +113,9 @@ def conversations(messages: DataFrame, bodies: DataFrame, accounts: DataFrame) -
     """
     rows = turns(messages, bodies)
     rows = materialise(rows, "turns")
-    kept = whole(rows, accounts)
+    kept = materialise(whole(rows, accounts), "kept")
     mine = accounts.where(has_text(F.col("address"))).select(F.lower(F.trim("address")).alias("who")).distinct().withColumn("role", F.lit("owner"))
-    told = rows.join(kept.select("topic", "conv_nid"), "topic").withColumn("who", F.lower(F.trim("sender_email")))
+    # One topic may hold a third of the rows.
+    told = join_facts(rows, kept, ["topic"]).withColumn("who", F.lower(F.trim("sender_email")))
     told = told.join(F.broadcast(mine), "who", "left").select("conv_nid", "nid", "delivered_us", F.coalesce("role", F.lit("correspondent")).alias("role"))
     return ranked(told).select("conv_nid", "turn", "nid", "role")

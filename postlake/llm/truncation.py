@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlake.operators.skew import join_facts
+from postlake.session import materialise
+
 #: A last trigram counts as cut if seen at least so often inside, and at ends at most this share.
 LEAST_INSIDE, MOST_ENDING = 3, 0.1
 #: A length is a limit if at least so many of the source's values have it, and so many times more
@@ -119,7 +122,9 @@ def judged(hx: DataFrame) -> DataFrame:
         F.when(n > 2, F.element_at(last, n)).alias("c"),
     )
     # Per distinct last trigram, not per value: what the corpus says of it.
-    asked = base.where("NOT stops AND c IS NOT NULL").select("a", "b", "c").distinct()
+    base = materialise(base, "ends")
+    counted = base.where("NOT stops AND c IS NOT NULL").groupBy("a", "b", "c").agg(F.count("*").alias("n"))
+    asked = counted.select("a", "b", "c")
     seen = asked.join(grams, ["a", "b", "c"], "left").select("a", "b", "c", F.coalesce("inside", F.lit(0)).alias("inside"), F.coalesce("ending", F.lit(0)).alias("ending"))
     longer = grams.where("inside > 0").select(F.col("a").alias("la"), F.col("b").alias("lb"), F.col("c").alias("lc"), F.col("inside").alias("li"))
     begun = asked.join(longer, (F.col("a") == F.col("la")) & (F.col("b") == F.col("lb")) & F.startswith("lc", "c") & (F.col("lc") != F.col("c"))).groupBy("a", "b", "c").agg(F.sum("li").alias("begun"))
@@ -129,11 +134,12 @@ def judged(hx: DataFrame) -> DataFrame:
     rare = asked.select("c").distinct().join(single, "c").where((F.col("in1") == 0) & (F.col("end1") <= 2)).select("c", F.substring("c", 1, 3).alias("k"))
     common = single.where("in1 + end1 >= 5").select(F.substring("c", 1, 3).alias("k"), F.col("c").alias("full"))
     stub = rare.join(common, (rare["k"] == common["k"]) & F.startswith("full", "c") & (F.col("full") != F.col("c"))).select("c").distinct().withColumn("stub", F.lit(True))
-    facts = seen.join(begun, ["a", "b", "c"], "left").join(pairs, ["b", "c"], "left").join(stub, "c", "left")
+    facts = seen.join(counted, ["a", "b", "c"]).join(begun, ["a", "b", "c"], "left").join(pairs, ["b", "c"], "left").join(stub, "c", "left")
     facts = facts.select(
         "a",
         "b",
         "c",
+        "n",
         ((F.col("inside") >= LEAST_INSIDE) & (F.col("ending") <= MOST_ENDING * (F.col("inside") + F.col("ending")))).alias("between"),
         ((F.col("inside") == 0) & (F.coalesce("begun", F.lit(0)) >= 2) & (F.coalesce("begun", F.lit(0)) > 2 * F.col("ending"))).alias("in_word"),
         F.coalesce("stub", F.lit(False)).alias("stub"),
@@ -145,7 +151,8 @@ def judged(hx: DataFrame) -> DataFrame:
     by_unit = lambda u: F.max(F.when(F.col("unit") == u, F.col("most"))).alias(f"most_{u}")
     caps = lim.groupBy(F.col("source").alias("cap_source"), F.col("field_name").alias("cap_field")).agg(by_unit("chars"), by_unit("bytes"))
     out = base.join(caps, F.col("source").eqNullSafe(F.col("cap_source")) & (F.col("field_name") == F.col("cap_field")), "left")
-    out = out.join(facts, ["a", "b", "c"], "left")
+    # A common last phrase may end a third of the values.
+    out = join_facts(out, materialise(facts, "facts"), ["a", "b", "c"], how="left")
     yes = lambda name: F.coalesce(name, F.lit(False))
     full = yes(F.col("chars") == F.col("most_chars")) | yes(F.col("bytes") == F.col("most_bytes"))
     near = yes(F.col("chars").between(F.col("most_chars") - WORD_SLACK, F.col("most_chars"))) | yes(F.col("bytes").between(F.col("most_bytes") - WORD_SLACK, F.col("most_bytes")))
