@@ -24,6 +24,7 @@ LEXICON_LIMIT = 400_000
 
 #: Between parts of an item: a space, or a line end with the quote signs of the next line.
 _GAP = r"(?:[  ]|[ ]?\r?\n(?:[ ]{0,3}[A-Za-z]{0,3}[>|][ ]?)*)"
+_LINE = r"[ ]?\r?\n(?:[ ]{0,3}[A-Za-z]{0,3}[>|][ ]?)*"
 
 # E-mail addresses, also spelled out.
 _AT, _DOT = rf"{_GAP}?(?:\(at\)|\[at\]|\{{at\}}|\(ät\)){_GAP}?|{_GAP}at{_GAP}", rf"{_GAP}?(?:\(dot\)|\[dot\]|\{{dot\}}|\(punkt\)){_GAP}?|{_GAP}(?:dot|punkt|point|punto){_GAP}"
@@ -63,7 +64,7 @@ _CAP = r"[A-ZÀ-ÖØ-Þ][\w'’-]*"
 _WORDS = rf"{_CAP}(?:{_GAP}{_CAP}){{0,2}}"
 _UNIT = rf"(?:(?:Flat|Apt\.?|Apartment|Unit|Suite|Room){_GAP}\d+\w?,?{_GAP})"
 _EN_WAY = r"(?:Street|St|Road|Rd|Lane|Ln|Court|Ct|Row|Crescent|Cres|Avenue|Ave|Close|Drive|Dr|Way|Place|Pl|Square|Sq|Terrace|Gardens|Gdns|Mews|Boulevard|Blvd|Parade|Grove|Walk)\b\.?"
-_DE_WAY = r"[A-ZÄÖÜ][\w-]*(?:straße|strasse|str\.|weg|allee|gasse|platz|ufer|damm|ring|graben|steig|markt)|(?:[A-ZÄÖÜ][\w-]*[ -])+(?:Straße|Str\.|Weg|Allee|Gasse|Platz|Ring|Ufer|Damm)"
+_DE_WAY = r"[A-ZÄÖÜ][\w-]*(?:straße|strasse|str\.|weg|allee|gasse|platz|ufer|damm|ring|graben|steig|markt)|(?:[A-ZÄÖÜ][\w-]*[ -])+(?:Straße|Str\.|Weg|Allee|Gasse|Platz|Ring|Ufer|Damm|Hafen|Deich|Markt|Graben|Tor|Hof|Berg|Brücke|Steig|Wall|Kai|Chaussee|Promenade)"
 _FR_WAY = r"(?:rue|quai|avenue|boulevard|chemin|place|allée|impasse|cours|route|square|passage|sentier)"
 _ES_WAY = r"(?:Calle|Paseo|Avenida|Avda\.|Plaza|Camino|Carrera|Ronda|Travesía|Callejón|C/)"
 _TOWN = rf"(?:,?{_GAP}(?:\d{{4,5}}{_GAP}{_WORDS}|{_WORDS}{_GAP}\d{{4,5}}\b|(?<=,[ \n]){_WORDS}))?"
@@ -73,8 +74,8 @@ _ADDRESSES = (
     (re.compile(rf"[ \n]{_EN_WAY}"), re.compile(rf"{_UNIT}?(?<![\w.-])\d{{1,5}}[a-z]?,?{_GAP}(?:{_CAP}{_GAP}){{1,3}}{_EN_WAY}")),
     (re.compile(rf"[\d, \n]{_FR_WAY}[ \n]"), re.compile(rf"(?<!\w){_UNIT}?\d{{1,4}}(?:{_GAP}(?:bis|ter))?,?{_GAP}{_FR_WAY}{_GAP}(?:(?:de la|de l'|du|des|de|d'){_GAP}?)?{_WORDS}")),
     (re.compile(_ES_WAY), re.compile(rf"(?<!\w){_ES_WAY}{_GAP}(?:(?:de los|de las|de la|del|de){_GAP})?{_WORDS},?{_GAP}\d{{1,4}}")),
-    (re.compile(r"(?:straße|strasse|str\.|weg|allee|gasse|platz|ufer|damm|ring|graben|steig|markt|Straße|Str\.|Weg|Allee|Gasse|Platz|Ring|Ufer|Damm)\s\W{0,3}\d"), re.compile(rf"(?<!\w)(?:{_DE_WAY}){_GAP}\d{{1,4}}{_GAP}?[a-z]?\b")),
-    (re.compile(rf"\d[a-z]?,\s\W{{0,3}}\d{{5}}\s"), re.compile(rf"(?<!\w){_CAP}(?:{_GAP}{_CAP}){{0,3}}{_GAP}\d{{1,4}}[a-z]?,{_GAP}\d{{5}}{_GAP}{_CAP}")),
+    (re.compile(r"(?:straße|strasse|str\.|weg|allee|gasse|platz|ufer|damm|ring|graben|steig|markt|Straße|Str\.|Weg|Allee|Gasse|Platz|Ring|Ufer|Damm|Hafen|Deich|Markt|Graben|Tor|Hof|Berg|Brücke|Steig|Wall|Kai|Chaussee|Promenade)\s\W{0,3}\d"), re.compile(rf"(?<!\w)(?:{_DE_WAY}){_GAP}\d{{1,4}}{_GAP}?[a-z]?\b")),
+    (re.compile(r"\d[a-z]?(?:,\s|[ ]?\r?\n)[^\d\n]{0,6}\d{5}\s"), re.compile(rf"(?<!\w)(?:(?:Am|Im|Zum|Zur|An|Auf|Bei|Hinterm|Hinter|Unterm|Unter)(?:{_GAP}de[rnm])?(?:{_GAP}{_CAP}){{1,3}}|{_CAP}(?: {_CAP}){{0,3}}){_GAP}\d{{1,4}}[a-z]?(?:,{_GAP}|{_LINE})\d{{5}}{_GAP}{_CAP}")),
 )
 _UNIT_BEFORE = re.compile(rf"(?:{_UNIT})$")
 
