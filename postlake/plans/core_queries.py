@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlake.functions import scalars
@@ -350,3 +350,41 @@ sql_query("correspondents", "WITH people AS (SELECT lower(trim(email)) AS e, cou
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.v') AS v FROM events")
 def json_props(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), F.get_json_object("props", "$.v").alias("v"))
+
+
+@query(r"SELECT nid, nullif(trim(regexp_extract(body_html, '(?is)<title[^>]*>(.*?)</title>', 1), ' '), '') AS title FROM message_bodies WHERE body_html IS NOT NULL")
+def html_title(spark: SparkSession, d: str) -> DataFrame:
+    title = F.trim(F.regexp_extract("body_html", r"(?is)<title[^>]*>(.*?)</title>", 1))
+    return table(spark, d, "message_bodies").where("body_html IS NOT NULL").select("nid", F.nullif(title, F.lit("")).alias("title"))
+
+
+@query("SELECT nid, last_value(subject IGNORE NULLS) OVER (PARTITION BY folder_nid ORDER BY delivered NULLS LAST, nid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS known FROM messages")
+def last_known_subject(spark: SparkSession, d: str) -> DataFrame:
+    w = Window.partitionBy("folder_nid").orderBy(F.col("delivered").asc_nulls_last(), "nid").rowsBetween(Window.unboundedPreceding, 0)
+    return table(spark, d, "messages").select("nid", F.last("subject", ignorenulls=True).over(w).alias("known"))
+
+
+@query("SELECT time_bucket(INTERVAL '6 hours', delivered, TIMESTAMP '2024-01-01') AS bucket, count(*) AS n FROM messages WHERE delivered IS NOT NULL GROUP BY 1")
+def time_buckets(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "messages").where("delivered IS NOT NULL").groupBy(F.window("delivered", "6 hours").alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").cast("timestamp_ntz").alias("bucket"), "n")
+
+
+@query("SELECT source, count(*) AS n, count(html) AS with_html, round(avg(length(preview)), 6) AS mean_chars FROM hx_messages GROUP BY source")
+def record_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "hx_messages").groupBy("source").agg(F.count("*").alias("n"), F.count("html").alias("with_html"), F.round(F.avg(F.char_length("preview")), 6).alias("mean_chars"))
+
+
+@query("SELECT doc_id, CASE WHEN length(text) > 0 AND length(text) % 2 = 0 AND left(text, length(text) // 2) = right(text, length(text) // 2) THEN left(text, length(text) // 2) ELSE text END AS half FROM (SELECT doc_id, title || title AS text FROM documents UNION ALL SELECT doc_id, title AS text FROM documents)")
+def undoubled_titles(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "documents")
+    both = t.select("doc_id", F.concat("title", "title").alias("text")).unionByName(t.select("doc_id", F.col("title").alias("text")))
+    return both.select("doc_id", scalars.undouble(F.col("text")).alias("half"))
+
+
+sql_query("map_struct_json", "SELECT nid, map('a', subject)['a'] AS m, named_struct('k', size).k AS s, get_json_object(to_json(named_struct('k', size)), '$.k') AS j FROM messages", "SELECT nid, map {'a': subject}['a'] AS m, {'k': size}.k AS s, json_extract_string(to_json({'k': size}), '$.k') AS j FROM messages")
+sql_query("list_functions", "SELECT nid, element_at(split(subject, ' '), 1) AS first_word, slice(split(subject, ' '), 2, 2) AS middle, array_contains(split(subject, ' '), 'Meeting') AS meets, aggregate(transform(split(subject, ' '), w -> char_length(w)), 0, (a, b) -> a + b) AS letters FROM messages WHERE subject IS NOT NULL AND subject <> ''", "SELECT nid, string_split(subject, ' ')[1] AS first_word, list_slice(string_split(subject, ' '), 2, 3) AS middle, list_contains(string_split(subject, ' '), 'Meeting') AS meets, CAST(list_sum(list_transform(string_split(subject, ' '), lambda w: length(w))) AS INTEGER) AS letters FROM messages WHERE subject IS NOT NULL AND subject <> ''")
+sql_query("attachment_types", "SELECT lower(mime) AS mime, count(*) AS n, sum(data_len) AS bytes, max(declared_size) AS largest FROM ost_attachments() GROUP BY 1", "SELECT lower(mime) AS mime, count(*) AS n, CAST(sum(data_len) AS BIGINT) AS bytes, max(declared_size) AS largest FROM attachments GROUP BY 1")
+sql_query("topic_sizes", "SELECT conversation_topic, count(*) AS n FROM message_bodies WHERE conversation_topic IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+sql_query("first_value_per_sender", "SELECT DISTINCT sender_email, first_value(nid) OVER (PARTITION BY sender_email ORDER BY delivered NULLS LAST, nid) AS first_nid FROM messages WHERE sender_email IS NOT NULL")
+sql_query("null_safe_equality", "SELECT count(*) AS n FROM messages WHERE sender_email IS NOT DISTINCT FROM sender_name")
+sql_query("values_join", "SELECT m.nid, v.label FROM messages m JOIN (VALUES ('IPM.Note', 'mail'), ('IPM.Note.SMIME', 'signed')) AS v(c, label) ON v.c = m.message_class")
