@@ -16,6 +16,10 @@ from postlake.session import materialise
 
 #: A last trigram counts as cut if seen at least so often inside, and at ends at most this share.
 LEAST_INSIDE, MOST_ENDING = 3, 0.1
+#: A pair of words, or a word, that is so many times more often inside than at ends ends nothing.
+PAIR_INSIDE, PAIR_TIMES, WORD_INSIDE, WORD_TIMES = 5, 9, 20, 30
+#: Words of an item of a list.
+ITEM_WORDS = 3
 #: A length is a limit if at least so many of the source's values have it, and so many times more
 #: than have another length from half of it on.
 LIMIT_LEAST, LIMIT_TIMES = 3, 5.0
@@ -24,6 +28,8 @@ WORD_SLACK = 16
 
 #: How a client marks what it cut, at the very end.
 MARKER = r"(?i)(?:\s*\[(?:more|mehr|plus|m[aá]s|…|\.\.\.)\]|…|\.\.\.)\s*$"
+#: What stands between the items of a list.
+SEPARATOR = r"\s*[;,]\s+|\s+[-–—•|]\s+|:\s+"
 _STOP = r"[.!?][\"'»”’)\]]*\s*$"
 _BLOCK = r"(?is)</?(?:p|div|li|ul|ol|h[1-6]|pre|table|tr|td|th|br|blockquote|body|html|title)\b[^>]*>"
 _HIDDEN = r"(?is)<!--.*?-->|<(head|style|script|math)\b.*?</\1\s*>"
@@ -61,9 +67,17 @@ def lines(vals: DataFrame) -> DataFrame:
     """Each value with ``lines``: an array of word arrays, two starting signs before each."""
     text = F.when(F.col("field_name") == "html", text_of_markup(F.col("raw"))).otherwise(F.regexp_replace("raw", MARKER, ""))
     cut = F.filter(F.split(text, r"[\r\n]+"), lambda x: F.length(F.trim(x)) > 0)
+    vals = vals.withColumn("items", F.transform(cut, lambda x: F.split(F.regexp_replace(x, r"\d+", "0"), SEPARATOR)))
     return vals.withColumn("lines", F.transform(cut, lambda x: F.concat(F.array(F.lit("^"), F.lit("^")), words(x)))).withColumn("lines", F.filter("lines", lambda x: F.size(x) > 2))
 
 
+def item_counts(with_lines: DataFrame) -> DataFrame:
+    """(item, followed, final): how often a list item has a further one behind it, and how often it is the last of its line."""
+    each = with_lines.select(F.explode("items").alias("i")).where(F.size("i") > 2).select(F.posexplode("i").alias("k", "item"), F.size("i").alias("n")).where("k > 0")
+    one = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    return each.groupBy(F.trim("item").alias("item")).agg(one(F.col("k") < F.col("n") - 1).alias("followed"), one(F.col("k") == F.col("n") - 1).alias("final"))
+
+
 def trigram_counts(with_lines: DataFrame) -> DataFrame:
     """(a, b, c, inside, ending) over all lines, combined before the shuffle."""
     each = with_lines.select(F.explode("lines").alias("w"))
@@ -73,8 +87,10 @@ def trigram_counts(with_lines: DataFrame) -> DataFrame:
 
 
 def limits(vals: DataFrame) -> DataFrame:
-    """(source, field_name, unit, most) of the sources that cut at a length, in characters or bytes."""
-    sizes = vals.select("source", "field_name", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.length("raw").alias("n")), F.struct(F.lit("bytes").alias("unit"), F.octet_length("raw").alias("n")))).alias("s")).select("source", "field_name", "s.*")
+    """(source, field_name, unit, most) of the sources that cut at a length, in characters or bytes.
+
+    vals: source, field_name, chars, bytes."""
+    sizes = vals.select("source", "field_name", F.explode(F.array(*[F.struct(F.lit(u).alias("unit"), F.col(u).alias("n")) for u in ("chars", "bytes")])).alias("s")).select("source", "field_name", "s.*")
     hist = sizes.groupBy("source", "field_name", "unit", "n").agg(F.count("*").alias("k"))
     top = hist.groupBy("source", "field_name", "unit").agg(F.max(F.struct("k", "n")).alias("t"), F.max("n").alias("longest"))
     # The commonest length among the longer half of the lengths is the candidate.
@@ -102,28 +118,42 @@ def judged(hx: DataFrame) -> DataFrame:
     A value ending in a full stop, ! or ? is whole, also at its source's limit, unless a mark of
     the cut follows or its markup is torn. NULL and blank values give no row; a NULL source is a source of its own; repeated rec_ids each count.
     """
-    vals = values(hx)
-    with_lines = lines(vals)
-    grams = trigram_counts(with_lines)
     last = F.try_element_at("lines", F.lit(-1))
     n = F.size(last)
-    base = with_lines.select(
-        "rec_id",
-        "source",
-        "field_name",
-        F.length("raw").alias("chars"),
-        F.octet_length("raw").alias("bytes"),
-        F.when(F.col("field_name") == "html", F.regexp_like(F.concat_ws(" ", last), F.lit(_STOP))).otherwise(F.regexp_like(F.regexp_replace("raw", MARKER, ""), F.lit(_STOP))).alias("stops"),
-        ((F.col("field_name") == "preview") & F.regexp_like("raw", F.lit(MARKER))).alias("marked"),
-        F.when(F.col("field_name") == "html", unfinished_markup(F.col("raw"))).otherwise(F.lit(False)).alias("torn"),
-        ((F.col("field_name") == "preview") | F.regexp_like("raw", F.lit(_PLAIN_END))).alias("prose"),
-        F.when(n > 2, F.element_at(last, n - 2)).alias("a"),
-        F.when(n > 2, F.element_at(last, n - 1)).alias("b"),
-        F.when(n > 2, F.element_at(last, n)).alias("c"),
+    row = F.try_element_at("items", F.lit(-1))
+    at = lambda back: F.when(n > 2, F.element_at(last, n - back))
+    markup = F.col("field_name") == "html"
+    # Read once: what follows works on the words and on what is known of each value.
+    base = materialise(
+        lines(values(hx)).select(
+            "rec_id",
+            "source",
+            "field_name",
+            "lines",
+            "items",
+            F.when((F.size(row) > 2) & (F.size(F.split(F.trim(F.element_at(row, -2)), r"\s+")) <= ITEM_WORDS), F.trim(F.element_at(row, -1))).alias("item"),
+            F.length("raw").alias("chars"),
+            F.octet_length("raw").alias("bytes"),
+            F.when(markup, F.regexp_like(F.concat_ws(" ", last), F.lit(_STOP))).otherwise(F.regexp_like(F.regexp_replace("raw", MARKER, ""), F.lit(_STOP))).alias("stops"),
+            (~markup & F.regexp_like("raw", F.lit(MARKER))).alias("marked"),
+            F.when(markup, unfinished_markup(F.col("raw"))).otherwise(F.lit(False)).alias("torn"),
+            (~markup | F.regexp_like("raw", F.lit(_PLAIN_END))).alias("prose"),
+            at(2).alias("a"),
+            at(1).alias("b"),
+            at(0).alias("c"),
+        ),
+        "ends",
     )
+    grams = materialise(trigram_counts(base), "grams")
+    items = item_counts(base)
+    base = base.drop("lines", "items")
     # Per distinct last trigram, not per value: what the corpus says of it.
-    base = materialise(base, "ends")
     counted = base.where("NOT stops AND c IS NOT NULL").groupBy("a", "b", "c").agg(F.count("*").alias("n"))
+    # Lists end in an item, without a stop: whether other lists end in it too, or it is a short one hardly known.
+    rest = F.col("followed") + F.col("final") - 1
+    known = (rest >= 3) & (F.col("final") - 1 >= MOST_ENDING * rest)
+    short = (rest < 3) & (F.size(F.split("item", r"\s+")) <= ITEM_WORDS)
+    listed = base.where("NOT stops AND item IS NOT NULL").select("item").distinct().join(items, "item").where(known | short).select("item", F.lit(True).alias("listed"))
     asked = counted.select("a", "b", "c")
     seen = asked.join(grams, ["a", "b", "c"], "left").select("a", "b", "c", F.coalesce("inside", F.lit(0)).alias("inside"), F.coalesce("ending", F.lit(0)).alias("ending"))
     longer = grams.where("inside > 0").select(F.col("a").alias("la"), F.col("b").alias("lb"), F.col("c").alias("lc"), F.col("inside").alias("li"))
@@ -134,7 +164,7 @@ def judged(hx: DataFrame) -> DataFrame:
     rare = asked.select("c").distinct().join(single, "c").where((F.col("in1") == 0) & (F.col("end1") <= 2)).select("c", F.substring("c", 1, 3).alias("k"))
     common = single.where("in1 + end1 >= 5").select(F.substring("c", 1, 3).alias("k"), F.col("c").alias("full"))
     stub = rare.join(common, (rare["k"] == common["k"]) & F.startswith("full", "c") & (F.col("full") != F.col("c"))).select("c").distinct().withColumn("stub", F.lit(True))
-    facts = seen.join(counted, ["a", "b", "c"]).join(begun, ["a", "b", "c"], "left").join(pairs, ["b", "c"], "left").join(stub, "c", "left")
+    facts = seen.join(counted, ["a", "b", "c"]).join(begun, ["a", "b", "c"], "left").join(pairs, ["b", "c"], "left").join(single, "c", "left").join(stub, "c", "left")
     facts = facts.select(
         "a",
         "b",
@@ -144,19 +174,20 @@ def judged(hx: DataFrame) -> DataFrame:
         ((F.col("inside") == 0) & (F.coalesce("begun", F.lit(0)) >= 2) & (F.coalesce("begun", F.lit(0)) > 2 * F.col("ending"))).alias("in_word"),
         F.coalesce("stub", F.lit(False)).alias("stub"),
         (F.col("end2") > F.col("in2")).alias("natural"),
-        (F.col("in2") > 9 * F.col("end2")).alias("inner"),
+        (((F.col("in2") >= PAIR_INSIDE) & (F.col("in2") > PAIR_TIMES * F.col("end2"))) | ((F.col("in1") >= WORD_INSIDE) & (F.col("in1") > WORD_TIMES * F.col("end1")) & (F.col("end2") <= F.col("in2")))).alias("inner"),
     )
-    lim = limits(vals)
+    lim = limits(base)
     # One row per source and field at most.
     by_unit = lambda u: F.max(F.when(F.col("unit") == u, F.col("most"))).alias(f"most_{u}")
     caps = lim.groupBy(F.col("source").alias("cap_source"), F.col("field_name").alias("cap_field")).agg(by_unit("chars"), by_unit("bytes"))
-    out = base.join(caps, F.col("source").eqNullSafe(F.col("cap_source")) & (F.col("field_name") == F.col("cap_field")), "left")
+    out = base.join(listed, "item", "left")
+    out = out.join(caps, F.col("source").eqNullSafe(F.col("cap_source")) & (F.col("field_name") == F.col("cap_field")), "left")
     # A common last phrase may end a third of the values.
     out = join_facts(out, materialise(facts, "facts"), ["a", "b", "c"], how="left")
     yes = lambda name: F.coalesce(name, F.lit(False))
     full = yes(F.col("chars") == F.col("most_chars")) | yes(F.col("bytes") == F.col("most_bytes"))
     near = yes(F.col("chars").between(F.col("most_chars") - WORD_SLACK, F.col("most_chars"))) | yes(F.col("bytes").between(F.col("most_bytes") - WORD_SLACK, F.col("most_bytes")))
-    open_end = ~F.col("stops") & F.col("prose") & (full | yes("between") | yes("in_word") | yes("stub") | (yes("inner") & ~yes("natural")) | (near & ~yes("natural")))
+    open_end = ~F.col("stops") & F.col("prose") & (full | (~yes("listed") & (yes("between") | yes("in_word") | yes("stub") | yes("inner") | (near & ~yes("natural")))))
     marked = F.col("marked") & (~F.col("stops") | near)
     return out.select("rec_id", "source", "field_name", (F.col("torn") | marked | open_end).alias("cut"))
 
