@@ -31,10 +31,11 @@ COMMON = 3
 #: Boilerplate: in so many mails at least, and of its occurrences so many at the very end.
 BOILERPLATE_MAILS, BOILERPLATE_TAIL = 5, 0.9
 
-UNITS = "array<struct<first:int,last:int,own:boolean,tail:boolean,fp:long,num:long,th:long,text:string>>"
+UNITS = "array<struct<first:int,last:int,own:boolean,tail:boolean,fp:long,num:long,th:long,mask:long,text:string>>"
 _SIGNS = re.compile(r"^\s{0,3}(?:[A-Za-z]{0,4}[>|]\s?)+")
 _END = re.compile(r"(?<=[.!?])\s+")
 _WORD = re.compile(r"\w+")
+_DIGITS = re.compile(r"\d+")
 
 
 def _long(text: str) -> int:
@@ -125,7 +126,7 @@ def read(bodies: DataFrame) -> DataFrame:
             flat = [u[4] for us in units for u in us]
             prints = iter(simhash(flat).tolist())
             rows = [
-                [{"first": a, "last": b, "own": own, "tail": tail, "fp": next(prints), "num": _long(" ".join([w for w in t.split() if not w.isalpha()])), "th": _long(t), "text": t} for a, b, own, tail, t in us]
+                [{"first": a, "last": b, "own": own, "tail": tail, "fp": next(prints), "num": _long(" ".join([w for w in t.split() if not w.isalpha()])), "th": _long(t), "mask": _long(_DIGITS.sub("0", t)) if own else 0, "text": t} for a, b, own, tail, t in us]
                 for us in units
             ]
             yield pd.DataFrame({"nid": pdf["nid"], "marked": marked, "units": rows})
@@ -183,7 +184,7 @@ def inherited_lines(messages: DataFrame, bodies: DataFrame) -> DataFrame:
     mine = talk.where("own AND us > begun").select("nid", "no", "first", "last", "topic", "th", "us")
     # Only what was said before is looked up again, so most sentences end here.
     before = mine.join(since, ["topic", "th"]).where(F.col("since") < F.col("us")).join(common, "th", "left_anti").select("nid", "no", "first", "last")
-    units = units.select("nid", "no", "u.*")
+    units = units.select("nid", "no", "u.first", "u.last", "u.own", "u.tail", "u.th", "u.mask")
     # A mail of which every sentence was said before is a copy of another, not a reply that holds it.
     total = units.where("own").join(common, "th", "left_anti").groupBy("nid").agg(F.count("*").alias("n"))
     found = before.groupBy("nid").agg(F.count("*").alias("k")).join(total, "nid").where(F.col("k") < F.col("n")).select("nid")
@@ -192,7 +193,7 @@ def inherited_lines(messages: DataFrame, bodies: DataFrame) -> DataFrame:
     beside = F.coalesce(F.lead("no").over(row) == F.col("no") + 1, F.lit(False)) | F.coalesce(F.lag("no").over(row) == F.col("no") - 1, F.lit(False))
     taken = before.join(found, "nid", "left_semi").withColumn("beside", beside).where("beside").drop("beside")
 
-    masked = units.where("own").withColumn("mask", F.xxhash64(F.regexp_replace("text", r"\d+", "0")))
+    masked = units.where("own")
     shape = masked.groupBy("mask").agg(F.count("*").alias("n"), F.sum(F.col("tail").cast("long")).alias("k"))
     stock = shape.where((F.col("n") >= BOILERPLATE_MAILS) & (F.col("k") >= BOILERPLATE_TAIL * F.col("n"))).select("mask")
     # The tail alone can be boilerplate.
