@@ -31,6 +31,9 @@ COMMON = 3
 #: Boilerplate: in so many mails at least, and of its occurrences so many at the very end.
 BOILERPLATE_MAILS, BOILERPLATE_TAIL = 5, 0.9
 
+#: Hashes that may be broadcast: 8 bytes each.
+BROADCAST_ROWS = 500_000
+
 UNITS = "array<struct<first:int,last:int,own:boolean,tail:boolean,fp:long,num:long,th:long,mask:long,text:string>>"
 _SIGNS = re.compile(r"^\s{0,3}(?:[A-Za-z]{0,4}[>|]\s?)+")
 _END = re.compile(r"(?<=[.!?])\s+")
@@ -156,7 +159,9 @@ def earlier(talk: DataFrame, texts: DataFrame) -> DataFrame:
     have = tables(d).select("bucket", F.col("th").alias("b"), F.col("fp").alias("fb"), F.col("us").alias("since"))
     near = ask.join(have, "bucket").where((F.col("a") != F.col("b")) & (F.col("since") < F.col("mine")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= BITS))
     near = materialise(near.select("topic", "a", "b", "since").distinct(), "near")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("th")).distinct()
+    wanted = materialise(near.select(F.explode(F.array("a", "b")).alias("th")).distinct(), "wanted")
+    # Few hashes go to the texts; only more than that are worth a shuffle of all texts.
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     words = materialise(texts.join(wanted, "th", "left_semi").groupBy("th").agg(F.first("text").alias("text")), "words")
     both = near.join(words.select(F.col("th").alias("a"), F.col("text").alias("ta")), "a").join(words.select(F.col("th").alias("b"), F.col("text").alias("tb")), "b")
     close = both.where(F.levenshtein("ta", "tb") <= EDITS * F.greatest(F.length("ta"), F.length("tb")))
