@@ -22,7 +22,8 @@ _BLANK = r"[\s\u00a0\u200b\ufeff]+"
 
 
 def has_text(c: Column) -> Column:
-    return F.coalesce(F.length(F.regexp_replace(c, _BLANK, "")) > 0, F.lit(False))
+    # Ends at the first sign that is no space.
+    return F.coalesce(F.regexp_like(c, F.lit(r"[^\s\u00a0\u200b\ufeff]")), F.lit(False))
 
 
 def topic_key(topic: Column) -> Column:
