@@ -18,6 +18,9 @@ from postlake.session import materialise
 LEAST_INSIDE, MOST_ENDING = 3, 0.1
 #: A pair of words, or a word, that is so many times more often inside than at ends ends nothing.
 PAIR_INSIDE, PAIR_TIMES, WORD_INSIDE, WORD_TIMES = 5, 9, 20, 30
+#: A word counts as common if seen at least so often. A last word is the beginning of common words if it is
+#: inside at most this share of the times it ends, and its other ends are at most this share of those words.
+COMMON_WORD, STUB_INSIDE, STUB_ENDING = 5, 0.1, 0.2
 #: Words of an item of a list.
 ITEM_WORDS = 3
 #: A length is a limit if at least so many of the source's values have it, and so many times more
@@ -160,10 +163,12 @@ def judged(hx: DataFrame) -> DataFrame:
     begun = asked.join(longer, (F.col("a") == F.col("la")) & (F.col("b") == F.col("lb")) & F.startswith("lc", "c") & (F.col("lc") != F.col("c"))).groupBy("a", "b", "c").agg(F.sum("li").alias("begun"))
     pairs = grams.groupBy("b", "c").agg(F.sum("inside").alias("in2"), F.sum("ending").alias("end2"))
     single = grams.groupBy("c").agg(F.sum("inside").alias("in1"), F.sum("ending").alias("end1"))
-    # Words by their first three signs: only those of a last word that the corpus hardly has.
-    rare = asked.select("c").distinct().join(single, "c").where((F.col("in1") == 0) & (F.col("end1") <= 2)).select("c", F.substring("c", 1, 3).alias("k"))
-    common = single.where("in1 + end1 >= 5").select(F.substring("c", 1, 3).alias("k"), F.col("c").alias("full"))
-    stub = rare.join(common, (rare["k"] == common["k"]) & F.startswith("full", "c") & (F.col("full") != F.col("c"))).select("c").distinct().withColumn("stub", F.lit(True))
+    # Words by their first three signs: only those of a last word that the corpus hardly has but at ends. Shares, not
+    # counts, as several values of a large corpus end in the same piece of a word.
+    rare = asked.select("c").distinct().join(single, "c").where(F.col("in1") <= STUB_INSIDE * F.col("end1")).select("c", "end1", F.substring("c", 1, 3).alias("k"))
+    common = single.where(F.col("in1") + F.col("end1") >= COMMON_WORD).select(F.substring("c", 1, 3).alias("k"), F.col("c").alias("full"), (F.col("in1") + F.col("end1")).alias("times"))
+    stub = rare.join(common, (rare["k"] == common["k"]) & F.startswith("full", "c") & (F.col("full") != F.col("c"))).groupBy("c", "end1").agg(F.sum("times").alias("times"))
+    stub = stub.where(F.col("end1") - 1 <= STUB_ENDING * F.col("times")).select("c", F.lit(True).alias("stub"))
     facts = seen.join(counted, ["a", "b", "c"]).join(begun, ["a", "b", "c"], "left").join(pairs, ["b", "c"], "left").join(single, "c", "left").join(stub, "c", "left")
     facts = facts.select(
         "a",

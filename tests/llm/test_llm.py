@@ -223,6 +223,18 @@ def test_truncation(spark):
     assert truncation.cut_values(hx.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("times", [1, 3, 20])
+def test_a_word_cut_at_the_same_place_in_several_values(spark, times):
+    said = [f"The {a} was put into the window of the {b}." for a in ("report", "index", "folder") for b in ("office", "branch", "hall")] * 4 * times
+    said += [f"Robert has seen the {a}." for a in ("report", "index", "folder")] * 4 * times
+    # None ends at a limit, and no pair of words is known; names under a mail are whole words, a quarter of Robert.
+    cut = [f"{'Nobody ' * (k % 7 + 1)}saw{k} wind" for k in range(times)]
+    whole = [f"{'Thanks ' * (k % 5 + 1)}again{k} Rob" for k in range(4 * times)]
+    data = [(i, "a", None, s) for i, s in enumerate(said + whole)] + [(10_000 + i, "a", None, s) for i, s in enumerate(cut)]
+    got = rows(truncation.cut_values(spark.createDataFrame(data, "rec_id long, source string, html string, preview string")))
+    assert sorted(got) == [(10_000 + i, "preview") for i in range(times)]
+
+
 # 7: markup
 
 
