@@ -26,8 +26,9 @@ from postlake.session import materialise
 
 #: Most differing bits, most edits a character, fewest characters of a sentence that is compared.
 BITS, EDITS, LEAST_CHARS = 3, 0.1, 25
-#: A sentence said so often, and in more than one conversation, is a common phrase, not taken from one of them.
-COMMON = 3
+#: A sentence in so many conversations (its own and one it was forwarded to show nothing) is a common phrase if most of
+#: them do not repeat it, or this share of all conversations has it. A conversation of several mails counts once, copies do not.
+COMMON_TALKS, COMMON_SHARE = 3, 0.001
 #: Boilerplate: in so many mails at least, and of its occurrences so many at the very end.
 BOILERPLATE_MAILS, BOILERPLATE_TAIL = 5, 0.9
 
@@ -117,24 +118,25 @@ def sentences(body: str, kinds: list[str]) -> list[tuple[int, int, bool, bool, s
 
 
 def read(bodies: DataFrame) -> DataFrame:
-    """(nid, marked, units) of every body that is not blank: marked lines and sentences. Narrow."""
+    """(nid, marked, units, whole) of every body that is not blank: marked lines, sentences, a hash of all words without a mark. Narrow."""
 
     def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in chunks:
-            marked, units = [], []
+            marked, units, whole = [], [], []
             for body in pdf["body_plain"]:
                 kinds = parts(body)
                 marked.append([i + 1 for i, k in enumerate(kinds) if k and k != NEW])
                 units.append(sentences(body, kinds))
+                whole.append(_long(" ".join(_WORD.findall("\n".join([x for x, k in zip(body.split("\n"), kinds) if k == NEW]).lower()))))
             flat = [u[4] for us in units for u in us]
             prints = iter(simhash(flat).tolist())
             rows = [
                 [{"first": a, "last": b, "own": own, "tail": tail, "fp": next(prints), "num": _long(" ".join([w for w in t.split() if not w.isalpha()])), "th": _long(t), "mask": _long(_DIGITS.sub("0", t)) if own else 0, "text": t} for a, b, own, tail, t in us]
                 for us in units
             ]
-            yield pd.DataFrame({"nid": pdf["nid"], "marked": marked, "units": rows})
+            yield pd.DataFrame({"nid": pdf["nid"], "marked": marked, "units": rows, "whole": whole})
 
-    return bodies.where(has_text(F.col("body_plain"))).select("nid", "body_plain").mapInPandas(run, f"nid long, marked array<int>, units {UNITS}")
+    return bodies.where(has_text(F.col("body_plain"))).select("nid", "body_plain").mapInPandas(run, f"nid long, marked array<int>, units {UNITS}, whole long")
 
 
 def tables(d: DataFrame) -> DataFrame:
@@ -180,15 +182,20 @@ def inherited_lines(messages: DataFrame, bodies: DataFrame) -> DataFrame:
     marked = told.select("nid", F.explode("marked").alias("line_no"))
     when = messages.select("nid", F.col("delivered_us").alias("us")).join(bodies.select("nid", F.xxhash64(topic_key(F.col("conversation_topic"))).alias("topic"), topic_key(F.col("conversation_topic")).isNotNull().alias("has")), "nid").where("has AND us IS NOT NULL").drop("has")
     began = when.groupBy("topic").agg(F.min("us").alias("begun"), F.count("*").alias("mails")).where("mails > 1").drop("mails")
-    units = told.select("nid", F.posexplode("units").alias("no", "u"))
-    talk = units.select("nid", "no", "u.first", "u.last", "u.own", "u.fp", "u.num", "u.th").join(when.join(began, "topic"), "nid")
+    units = told.select("nid", "whole", F.posexplode("units").alias("no", "u"))
+    talk = units.select("nid", "whole", "no", "u.first", "u.last", "u.own", "u.fp", "u.num", "u.th").join(when.join(began, "topic"), "nid")
     talk = materialise(talk, "talk")
     since = earlier(talk, units.select("u.th", "u.text"))
-    # A phrase of several conversations is common.
-    common = talk.where("own").groupBy("th").agg(F.min("topic").alias("one"), F.max("topic").alias("other"), F.count("*").alias("n")).where((F.col("n") >= COMMON) & (F.col("one") != F.col("other"))).select("th")
-    mine = talk.where("own AND us > begun").select("nid", "no", "first", "last", "topic", "th", "us")
+    mine = talk.where("own AND us > begun").select("nid", "whole", "no", "first", "last", "topic", "th", "us")
     # Only what was said before is looked up again, so most sentences end here.
-    before = mine.join(since, ["topic", "th"]).where(F.col("since") < F.col("us")).join(common, "th", "left_anti").select("nid", "no", "first", "last")
+    before = materialise(mine.join(since, ["topic", "th"]).where(F.col("since") < F.col("us")).drop("since", "us"), "before")
+    asked = materialise(before.select("th").distinct(), "asked")
+    asked = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked
+    each = talk.where("own").join(asked, "th", "left_semi").groupBy("th", "topic").agg((F.min("whole") != F.max("whole")).alias("again"))
+    talks = talk.select("topic").distinct().count()
+    common = each.groupBy("th").agg(F.count("*").alias("n"), F.sum(F.col("again").cast("long")).alias("again"))
+    common = common.where((F.col("n") >= COMMON_TALKS) & ((F.col("n") > 2 * F.col("again")) | (F.col("n") >= COMMON_SHARE * talks))).select("th")
+    before = before.join(common, "th", "left_anti").select("nid", "no", "first", "last")
     units = units.select("nid", "no", "u.first", "u.last", "u.own", "u.tail", "u.th", "u.mask")
     # A mail of which every sentence was said before is a copy of another, not a reply that holds it.
     total = units.where("own").join(common, "th", "left_anti").groupBy("nid").agg(F.count("*").alias("n"))

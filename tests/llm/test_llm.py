@@ -355,6 +355,26 @@ def test_history_without_marks_is_found_by_its_sentences(spark):
     assert quoted.inherited_lines(m.limit(0), b.limit(0)).count() == 0
 
 
+OLD = "the archive of the northern office was moved to another building last spring.\nNobody has the new list of the shelves so far."
+
+
+def inherited(spark, *mails):
+    """Lines of (nid, us, topic, body)."""
+    m = spark.createDataFrame([(n, us) for n, us, _, _ in mails], "nid long, delivered_us long")
+    b = spark.createDataFrame([(n, t, body) for n, _, t, body in mails], "nid long, conversation_topic string, body_plain string")
+    return sorted(rows(quoted.inherited_lines(m, b)))
+
+
+def test_history_forwarded_to_another_conversation_is_still_history(spark):
+    reply = f"I did ask them and they have promised to answer.\n\n{OLD}"
+    # Quoted twice in its conversation and once under another topic.
+    mails = [(1, 10, "Topic", OLD), (2, 20, "Topic", reply), (3, 30, "Topic", reply.replace("ask", "write to")), (4, 40, "Elsewhere", f"Please see below what I was sent.\n\n{OLD}"), (5, 41, "Elsewhere", "Nothing of the kind was ever seen in this house.")]
+    assert inherited(spark, *mails) == [(2, 3), (2, 4), (3, 3), (3, 4)]
+    # What most conversations say once is a phrase, also where one says it twice.
+    many = [(10 + i, 50 + i, f"Other {i}", f"This is mail number {i} of many that came.\n\n{OLD}") for i in range(6)]
+    assert inherited(spark, *mails[:2], *many, *[(20 + i, 60 + i, f"Other {i}", f"Only an answer to mail {i}, with something else.") for i in range(6)]) == []
+
+
 def test_near_matches_against_brute_force(spark):
     rnd = random.Random(12)
     base = [" ".join(rnd.choice("alpha beta gamma delta store index mail window closed open ready number".split()) for _ in range(14)) for _ in range(30)]
