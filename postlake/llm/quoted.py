@@ -189,21 +189,22 @@ def inherited_lines(messages: DataFrame, bodies: DataFrame) -> DataFrame:
     mine = talk.where("own AND us > begun").select("nid", "whole", "no", "first", "last", "topic", "th", "us")
     # Only what was said before is looked up again, so most sentences end here.
     before = materialise(mine.join(since, ["topic", "th"]).where(F.col("since") < F.col("us")).drop("since", "us"), "before")
+    # A mail with the same words as an earlier one, short sentences included, is a copy of it, not a reply that holds it.
+    origin = talk.where("own").groupBy("topic", "whole").agg(F.min(F.struct("us", "nid")).alias("o"))
+    before = before.join(origin, ["topic", "whole"]).where(F.col("nid") == F.col("o.nid")).select("nid", "no", "first", "last", "th")
+    before = materialise(before, "replies")
     asked = materialise(before.select("th").distinct(), "asked")
     asked = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked
     each = talk.where("own").join(asked, "th", "left_semi").groupBy("th", "topic").agg((F.min("whole") != F.max("whole")).alias("again"))
     talks = talk.select("topic").distinct().count()
     common = each.groupBy("th").agg(F.count("*").alias("n"), F.sum(F.col("again").cast("long")).alias("again"))
     common = common.where((F.col("n") >= COMMON_TALKS) & ((F.col("n") > 2 * F.col("again")) | (F.col("n") >= COMMON_SHARE * talks))).select("th")
-    before = before.join(common, "th", "left_anti").select("nid", "no", "first", "last")
+    before = before.join(common, "th", "left_anti").drop("th")
     units = units.select("nid", "no", "u.first", "u.last", "u.own", "u.tail", "u.th", "u.mask")
-    # A mail of which every sentence was said before is a copy of another, not a reply that holds it.
-    total = units.where("own").join(common, "th", "left_anti").groupBy("nid").agg(F.count("*").alias("n"))
-    found = before.groupBy("nid").agg(F.count("*").alias("k")).join(total, "nid").where(F.col("k") < F.col("n")).select("nid")
     # Two sentences in a row: one alone may be what people say anyway.
     row = Window.partitionBy("nid").orderBy("no")
     beside = F.coalesce(F.lead("no").over(row) == F.col("no") + 1, F.lit(False)) | F.coalesce(F.lag("no").over(row) == F.col("no") - 1, F.lit(False))
-    taken = before.join(found, "nid", "left_semi").withColumn("beside", beside).where("beside").drop("beside")
+    taken = before.withColumn("beside", beside).where("beside").drop("beside")
 
     masked = units.where("own")
     shape = masked.groupBy("mask").agg(F.count("*").alias("n"), F.sum(F.col("tail").cast("long")).alias("k"))

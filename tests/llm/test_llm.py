@@ -375,6 +375,11 @@ def test_history_forwarded_to_another_conversation_is_still_history(spark):
     assert inherited(spark, *mails[:2], *many, *[(20 + i, 60 + i, f"Other {i}", f"Only an answer to mail {i}, with something else.") for i in range(6)]) == []
 
 
+def test_a_short_answer_above_history_is_no_copy(spark):
+    mails = [(1, 10, "Topic", f"Hello,\n\n{OLD}"), (2, 20, "Topic", f"Agreed, thanks.\n\n{OLD}"), (3, 30, "Topic", f"Hello,\n\n{OLD}\n")]
+    assert inherited(spark, *mails) == [(2, 3), (2, 4)]
+
+
 def test_near_matches_against_brute_force(spark):
     rnd = random.Random(12)
     base = [" ".join(rnd.choice("alpha beta gamma delta store index mail window closed open ready number".split()) for _ in range(14)) for _ in range(30)]
