@@ -171,10 +171,15 @@ def numbers(text: str) -> list[tuple[int, int, str, float]]:
     return out
 
 
+def tokens(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, word) of the words that may be names, without a possessive 's."""
+    toks = [(m.start(), m.end(), m.group()) for m in _TOKEN.finditer(text)]
+    return [(a, b - 2, w[:-2]) if w.endswith(("'s", "’s")) else (a, b, w) for a, b, w in toks]
+
+
 def names(text: str, given: frozenset | set, surname: frozenset | set) -> list[tuple[int, int, str, float]]:
     """Names of persons: given and surname in either order, initial and surname, a given name alone."""
-    toks = [(m.start(), m.end(), m.group()) for m in _TOKEN.finditer(text)]
-    toks = [(a, b - 2, w[:-2]) if w.endswith(("'s", "’s")) else (a, b, w) for a, b, w in toks]
+    toks = tokens(text)
     low = [fold(w) for _, _, w in toks]
     n, i, out = len(toks), 0, []
 
@@ -354,8 +359,13 @@ def _apply(texts: DataFrame, lex: DataFrame, make, schema: str) -> DataFrame:
                 yield make(pdf, lambda i: held.value)
 
         return texts.mapInPandas(run, schema)
-    # Each text with the names that occur in it.
-    inside = texts.select("nid", "field_name", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\p{Lu}[\p{L}\p{M}'’-]*"), F.lit(0)))).alias("w")).withColumn("word", _plain(F.col("w")))
+    # Each text with the names that occur in it, by the same words that names() looks up.
+    def words_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            rows = [(n, f, w) for n, f, text in zip(pdf["nid"], pdf["field_name"], pdf["text"]) for w in {fold(x) for _, _, x in tokens(text)}]
+            yield pd.DataFrame(rows, columns=["nid", "field_name", "word"])
+
+    inside = texts.mapInPandas(words_of, "nid long, field_name string, word string")
     mine = inside.join(lex, "word").groupBy("nid", "field_name").agg(F.collect_set(F.when(F.col("kind") == "given", F.col("word"))).alias("given"), F.collect_set(F.when(F.col("kind") == "surname", F.col("word"))).alias("surname"))
 
     def run_with(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

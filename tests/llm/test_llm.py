@@ -467,6 +467,17 @@ def test_found_with_both_ways_of_the_lexicon(spark, monkeypatch):
     assert pii.found(m.limit(0), b.limit(0), r.limit(0), nf.limit(0)).count() == 0
 
 
+def test_both_ways_of_the_lexicon_agree_on_possessives_and_signs(spark, monkeypatch):
+    m = spark.createDataFrame([(1, "Anna's list", "Anna Example", "anna.example@x.example")], "nid long, subject string, sender_name string, sender_email string")
+    b = spark.createDataFrame([(1, "We took Anna’s desk, then Anna- and Anna Example's; also Annä, Anňa and Anna' too.")], "nid long, body_plain string")
+    r = spark.createDataFrame([], "message_nid long, name string, email string")
+    nf = spark.createDataFrame([], "short_form string, full_form string")
+    want = sorted(rows(pii.found(m, b, r, nf)))
+    assert len(want) >= 5 and (1, "subject", 1, "name") in want and (1, "body_plain", 9, "name") in want
+    monkeypatch.setattr(pii, "LEXICON_LIMIT", 0)
+    assert sorted(rows(pii.found(m, b, r, nf))) == want
+
+
 # 4: names
 
 
