@@ -1,10 +1,11 @@
 """Quoted history, signatures and notices in mails: only what the sender newly wrote stays.
 
-A body's own marks (quote signs, headers, closings, rules) give the lines that say of themselves
-that they are not new. Every sentence of the rest is compared with what was said before in the same
-conversation: sentences are fingerprinted with SimHash, tables keyed by a quarter of the
-fingerprint retrieve earlier sentences within a Hamming distance of 3, and the edit distance
-confirms them. Sentences that recur at the end of mails, and hardly ever elsewhere, are boilerplate.
+Every sentence of every body, marked as a quotation or not, is fingerprinted with SimHash. Tables keyed by a
+quarter of the fingerprint retrieve what was said earlier in the same conversation within a Hamming distance
+of 3, and the edit distance confirms it: such sentences are inherited. Every line outside quotations is counted
+under its sender and over all senders: lines that recur across conversations, and hardly ever begin a
+mail, are boilerplate where they end one. What a mail says of itself (:mod:`postlake.llm.mailparts`)
+adds header lines, introductions, and quotations and signatures whose like the mailbox does not hold.
 """
 
 from __future__ import annotations
@@ -13,11 +14,12 @@ import functools
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.llm.conversations import has_text, topic_key
@@ -29,13 +31,19 @@ BITS, EDITS, LEAST_CHARS = 3, 0.1, 25
 #: A sentence in so many conversations (its own and one it was forwarded to show nothing) is a common phrase if most of
 #: them do not repeat it, or this share of all conversations has it. A conversation of several mails counts once, copies do not.
 COMMON_TALKS, COMMON_SHARE = 3, 0.001
-#: Boilerplate: in so many mails at least, and of its occurrences so many at the very end.
-BOILERPLATE_MAILS, BOILERPLATE_TAIL = 5, 0.9
+#: Boilerplate of a sender: lines in so many of their mails, in several conversations; of all: in so many mails of so
+#: many senders. Of the occurrences at most this share in the first paragraph, where greetings stand.
+SENDER_MAILS, ALL_MAILS, ALL_SENDERS, MOST_FIRST = 4, 10, 3, 0.1
 
 #: Hashes that may be broadcast: 8 bytes each.
 BROADCAST_ROWS = 500_000
 
-UNITS = "array<struct<first:int,last:int,own:boolean,tail:boolean,fp:long,num:long,th:long,mask:long,text:string>>"
+_SENTENCE = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("own", pa.bool_()), ("fp", pa.int64()), ("num", pa.int64()), ("th", pa.int64())])
+_LINE = pa.struct([("line", pa.int32()), ("own", pa.bool_()), ("head", pa.bool_()), ("mask", pa.int64())])
+PARTS = (
+    "nid long, talk long, who long, us long, whole long, marked array<int>, sents array<struct<first:int,last:int,own:boolean,fp:long,num:long,th:long>>,"
+    " texts array<string>, plates array<struct<line:int,own:boolean,head:boolean,mask:long>>"
+)
 _SIGNS = re.compile(r"^\s{0,3}(?:[A-Za-z]{0,4}[>|]\s?)+")
 _END = re.compile(r"(?<=[.!?])\s+")
 _WORD = re.compile(r"\w+")
@@ -57,15 +65,11 @@ def simhash(sentences: list[str]) -> np.ndarray:
     """64-bit SimHash over the words of each sentence; one of no words has 0."""
     words = [s.split() for s in sentences]
     counts = np.fromiter(map(len, words), np.int64, len(words))
-    flat = [w for ws in words for w in ws]
+    flat = list(chain.from_iterable(words))
     if not flat:
         return np.zeros(len(sentences), np.int64)
-    ids, table = {}, []
-    for w in flat:
-        if w not in ids:
-            ids[w] = len(table)
-            table.append(_vector(w))
-    vectors = np.frombuffer(b"".join(table), np.int8).reshape(-1, 64)
+    ids = {w: i for i, w in enumerate(dict.fromkeys(flat))}
+    vectors = np.frombuffer(b"".join(map(_vector, ids)), np.int8).reshape(-1, 64)
     index = np.fromiter(map(ids.__getitem__, flat), np.int64, len(flat))
     out = np.zeros(len(sentences), np.int64)
     some = np.flatnonzero(counts)
@@ -75,68 +79,107 @@ def simhash(sentences: list[str]) -> np.ndarray:
     return out
 
 
-def sentences(body: str, kinds: list[str]) -> list[tuple[int, int, bool, bool, str]]:
-    """(first line, last line, own, tail, text) of the sentences of a body, lines from 1.
+def sentences(lines: list[str], kinds: list[str]) -> list[tuple[int, int, bool, str]]:
+    """(first line, last line, own, text) of the sentences of a body, lines from 1.
 
-    Own: in lines without a mark; else in history. A paragraph ends at a blank line or another part;
-    tail: it is the last own paragraph and not the first. Text: lower case words, one space between.
+    Own: in lines without a mark; else in history. A paragraph ends at a blank line, quoted or not, or another
+    part. Text: lower case words, one space between.
     """
-    lines = body.split("\n")
     out, at, n = [], 0, len(lines)
-    paragraphs: list[tuple[int, int, bool]] = []
     while at < n:
         k = kinds[at]
         if k not in (NEW, QUOTE, HISTORY):
             at += 1
             continue
-        end = at
-        while end < n and kinds[end] == k:
-            end += 1
-        paragraphs.append((at, end, k == NEW))
-        at = end
-    mine = [i for i, p in enumerate(paragraphs) if p[2]]
-    for i, (a, b, own) in enumerate(paragraphs):
-        tail = own and len(mine) > 1 and i == mine[-1]
-        text, starts = "", []
-        for x in range(a, b):
-            line = lines[x]
-            starts.append(len(text))
-            text += (line if own else _SIGNS.sub("", line)).strip() + " "
-        row, pos = 0, 0
-        for s in _END.split(text):
-            if s:
-                while row + 1 < len(starts) and starts[row + 1] <= pos:
-                    row += 1
-                last = row
-                while last + 1 < len(starts) and starts[last + 1] < pos + len(s.rstrip()):
-                    last += 1
+        own, pieces, starts, length, first = k == NEW, [], [], 0, at
+        while at < n and kinds[at] == k:
+            line = _SIGNS.sub("", lines[at]).strip() if ">" in lines[at] or "|" in lines[at] else lines[at].strip()
+            at += 1
+            if not line:
+                break
+            starts.append(length)
+            pieces.append(line)
+            length += len(line) + 1
+        row, pos, rows = 0, 0, len(starts)
+        for s in _END.split(" ".join(pieces)):
+            end = pos + len(s)
+            while row + 1 < rows and starts[row + 1] <= pos:
+                row += 1
+            last = row
+            while last + 1 < rows and starts[last + 1] < end:
+                last += 1
+            if len(s) >= LEAST_CHARS:
                 words = " ".join(_WORD.findall(s.lower()))
                 if len(words) >= LEAST_CHARS:
-                    out.append((a + row + 1, a + last + 1, own, tail, words))
-            pos += len(s) + 1
+                    out.append((first + row + 1, first + last + 1, own, words))
+            pos = end + 1
+    return out
+
+
+def plate_lines(lines: list[str], kinds: list[str]) -> list[tuple[int, bool, bool, str]]:
+    """(line, own, in the first paragraph, text without digits) of the lines that are no quotation and hold a word."""
+    out, paragraph, gap = [], 0, False
+    for i, k in enumerate(kinds):
+        if not k:
+            gap = True
+            continue
+        paragraph, gap = paragraph + (gap and bool(i)), False
+        if k not in (QUOTE, HISTORY):
+            words = " ".join(_WORD.findall(lines[i].lower()))
+            out.append((i + 1, k == NEW, paragraph == 0, _DIGITS.sub("0", words)))
     return out
 
 
-def read(bodies: DataFrame) -> DataFrame:
-    """(nid, marked, units, whole) of every body that is not blank: marked lines, sentences, a hash of all words without a mark. Narrow."""
+def _unmarked(lines: list[str]) -> list[str]:
+    return [NEW if x.strip() else "" for x in lines]
 
-    def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in chunks:
-            marked, units, whole = [], [], []
-            for body in pdf["body_plain"]:
-                kinds = parts(body)
-                marked.append([i + 1 for i, k in enumerate(kinds) if k and k != NEW])
-                units.append(sentences(body, kinds))
-                whole.append(_long(" ".join(_WORD.findall("\n".join([x for x, k in zip(body.split("\n"), kinds) if k == NEW]).lower()))))
-            flat = [u[4] for us in units for u in us]
-            prints = iter(simhash(flat).tolist())
-            rows = [
-                [{"first": a, "last": b, "own": own, "tail": tail, "fp": next(prints), "num": _long(" ".join([w for w in t.split() if not w.isalpha()])), "th": _long(t), "mask": _long(_DIGITS.sub("0", t)) if own else 0, "text": t} for a, b, own, tail, t in us]
-                for us in units
-            ]
-            yield pd.DataFrame({"nid": pdf["nid"], "marked": marked, "units": rows, "whole": whole})
 
-    return bodies.where(has_text(F.col("body_plain"))).select("nid", "body_plain").mapInPandas(run, f"nid long, marked array<int>, units {UNITS}, whole long")
+def read(mails: DataFrame, marks: bool = True) -> DataFrame:
+    """PARTS of each mail (nid, talk, who, us, body_plain). Narrow.
+
+    ``whole`` is a hash of all words without a mark. Without ``marks`` a body says nothing of itself: all its
+    lines count as its own.
+    """
+
+    def run(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks:
+            marked, wholes, sents, plates = [], [], [], []
+            for body in batch.column("body_plain").to_pylist():
+                lines = body.split("\n")
+                kinds = parts(body) if marks else _unmarked(lines)
+                marked.append([i for i, k in enumerate(kinds, 1) if k and k != NEW])
+                wholes.append(_long(" ".join(_WORD.findall(" ".join([x for x, k in zip(lines, kinds) if k == NEW]).lower()))))
+                sents.append(sentences(lines, kinds))
+                plates.append(plate_lines(lines, kinds))
+            flat = list(chain.from_iterable(sents))
+            texts = [s[3] for s in flat]
+            numbers = [_long(" ".join([w for w in t.split() if not w.isalpha()])) for t in texts]
+            columns = [pa.array([s[i] for s in flat], _SENTENCE.field(i).type) for i in range(3)] + [pa.array(simhash(texts)), pa.array(numbers, pa.int64()), pa.array(list(map(_long, texts)), pa.int64())]
+            lines_flat = list(chain.from_iterable(plates))
+            line_columns = [pa.array([p[i] for p in lines_flat], _LINE.field(i).type) for i in range(3)] + [pa.array([_long(p[3]) for p in lines_flat], pa.int64())]
+            offsets = lambda xs: pa.array(np.concatenate(([0], np.cumsum([len(x) for x in xs]))), pa.int32())
+            at = offsets(sents)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c) for c in ("nid", "talk", "who", "us")],
+                    pa.array(wholes, pa.int64()),
+                    pa.array(marked, pa.list_(pa.int32())),
+                    pa.ListArray.from_arrays(at, pa.StructArray.from_arrays(columns, fields=list(_SENTENCE))),
+                    pa.ListArray.from_arrays(at, pa.array(texts, pa.string())),
+                    pa.ListArray.from_arrays(offsets(plates), pa.StructArray.from_arrays(line_columns, fields=list(_LINE))),
+                ],
+                ["nid", "talk", "who", "us", "whole", "marked", "sents", "texts", "plates"],
+            )
+
+    return mails.mapInArrow(run, PARTS)
+
+
+def mails_of(messages: DataFrame, bodies: DataFrame) -> DataFrame:
+    """(nid, talk, who, us, body_plain) of the bodies that are not blank; talk and who are hashes of topic and sender."""
+    key, who = topic_key(F.col("conversation_topic")), F.lower(F.trim("sender_email"))
+    told = bodies.where(has_text(F.col("body_plain"))).select("nid", F.when(key.isNotNull(), F.xxhash64(key)).alias("talk"), "body_plain")
+    sent = messages.select("nid", F.when(who != "", F.xxhash64(who)).alias("who"), F.col("delivered_us").alias("us"))
+    return told.join(sent, "nid", "left").select("nid", "talk", "who", "us", "body_plain")
 
 
 def tables(d: DataFrame) -> DataFrame:
@@ -144,79 +187,113 @@ def tables(d: DataFrame) -> DataFrame:
     fingerprints within three bits one quarter is equal. A bucket is of one conversation and of one
     sequence of numbers in the sentence."""
     quarter = lambda i: F.shiftrightunsigned("fp", 16 * i).bitwiseAND(0xFFFF)
-    return d.withColumn("bucket", F.explode(F.array(*[F.xxhash64("topic", "num", F.lit(i), quarter(i)) for i in range(4)])))
+    return d.withColumn("bucket", F.explode(F.array(*[F.xxhash64("talk", "num", F.lit(i), quarter(i)) for i in range(4)])))
 
 
-def earlier(talk: DataFrame, texts: DataFrame) -> DataFrame:
-    """(topic, th, since): when each own text of a conversation was first said, near texts included.
+def near(said: DataFrame, texts: DataFrame) -> DataFrame:
+    """(talk, th, near): when a text within the edit distance was said before this one in the conversation.
 
-    talk: topic, th, fp, num, own, us, begun (when the conversation began); texts: th, text. Equal texts
-    are combined first, so that no pairs of copies arise; the text itself is fetched only for what
-    the fingerprints leave.
+    said: talk, th, fp, num, us, a row for each text of a conversation, so that copies make no pairs; texts: th,
+    text. The text is fetched only for what the fingerprints leave.
     """
-    d = talk.groupBy("topic", "th").agg(F.min("us").alias("us"), F.min(F.when(F.col("own"), F.col("us"))).alias("own_us"), F.first("fp").alias("fp"), F.first("num").alias("num"), F.max("own").alias("own"), F.min("begun").alias("begun"))
-    d = materialise(d, "said")
-    # The first mail of a conversation takes nothing from it.
-    ask = tables(d.where("own AND own_us > begun")).select("bucket", "topic", F.col("th").alias("a"), F.col("fp").alias("fa"), F.col("us").alias("mine"))
-    have = tables(d).select("bucket", F.col("th").alias("b"), F.col("fp").alias("fb"), F.col("us").alias("since"))
-    near = ask.join(have, "bucket").where((F.col("a") != F.col("b")) & (F.col("since") < F.col("mine")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= BITS))
-    near = materialise(near.select("topic", "a", "b", "since").distinct(), "near")
-    wanted = materialise(near.select(F.explode(F.array("a", "b")).alias("th")).distinct(), "wanted")
+    # Both sides read the same shuffle.
+    d = tables(said.where("fp IS NOT NULL").select("talk", "th", "fp", "num", "us")).select("bucket", "talk", "th", "fp", "us").repartition("bucket")
+    a, b = d.alias("a"), d.alias("b")
+    pairs = a.join(b, F.col("a.bucket") == F.col("b.bucket")).where((F.col("a.th") != F.col("b.th")) & (F.col("b.us") < F.col("a.us")) & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= BITS))
+    pairs = materialise(pairs.select(F.col("a.talk").alias("talk"), F.col("a.th").alias("a"), F.col("b.th").alias("b"), F.col("b.us").alias("since")).distinct(), "near")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct()
     # Few hashes go to the texts; only more than that are worth a shuffle of all texts.
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    wanted = F.broadcast(wanted) if pairs.count() <= BROADCAST_ROWS // 2 else wanted
     words = materialise(texts.join(wanted, "th", "left_semi").groupBy("th").agg(F.first("text").alias("text")), "words")
-    both = near.join(words.select(F.col("th").alias("a"), F.col("text").alias("ta")), "a").join(words.select(F.col("th").alias("b"), F.col("text").alias("tb")), "b")
+    both = pairs.join(words.select(F.col("th").alias("a"), F.col("text").alias("ta")), "a").join(words.select(F.col("th").alias("b"), F.col("text").alias("tb")), "b")
     close = both.where(F.levenshtein("ta", "tb") <= EDITS * F.greatest(F.length("ta"), F.length("tb")))
-    first = close.groupBy("topic", F.col("a").alias("th")).agg(F.min("since").alias("near"))
-    return d.where("own").join(first, ["topic", "th"], "left").select("topic", "th", F.least("us", "near").alias("since"))
+    return close.groupBy("talk", F.col("a").alias("th")).agg(F.min("since").alias("near"))
+
+
+def repeated(told: DataFrame) -> DataFrame:
+    """(nid, no): sentences said before in their conversation, by their place in ``sents``; -1 for a mail whose own words, all of
+    them, are an earlier mail's: it is a copy of that, not a reply that holds it.
+
+    Of the sentences without a mark, common phrases are left out.
+    """
+    dated = told.where("talk IS NOT NULL AND us IS NOT NULL")
+    body = F.struct(F.lit(-1).alias("no"), F.lit(True).alias("own"), F.col("whole").alias("th"), F.lit(None).cast("long").alias("fp"), F.lit(None).cast("long").alias("num"))
+    each = F.transform("sents", lambda s, i: F.struct(i.alias("no"), s["own"].alias("own"), s["th"].alias("th"), s["fp"].alias("fp"), s["num"].alias("num")))
+    talk = dated.select("nid", "talk", "us", "whole", F.explode(F.concat(F.array(body), each)).alias("s")).select("nid", "talk", "us", "whole", "s.*")
+    mine = F.when(F.col("own"), F.col("whole"))
+    said = talk.groupBy("talk", "th").agg(F.min("us").alias("us"), F.max("us").alias("until"), F.first("fp").alias("fp"), F.first("num").alias("num"), F.max("own").alias("own"), F.coalesce(F.min(mine) != F.max(mine), F.lit(False)).alias("again"))
+    said = materialise(said, "said")
+    first = near(said, told.select(F.explode(F.arrays_zip(F.col("sents.th").alias("th"), F.col("texts").alias("text"))).alias("t")).select("t.th", "t.text"))
+    since = said.select("talk", "th", "us", "until").join(first, ["talk", "th"], "left").select("talk", "th", F.least("us", "near").alias("since"), "until").where("until > since")
+    before = materialise(talk.select("nid", "talk", "us", "no", "own", "th").join(since.drop("until"), ["talk", "th"]).where("since < us").select("nid", "no", "own", "th"), "before")
+    talks = said.select("talk").distinct().count()
+    common = said.where("own AND fp IS NOT NULL").groupBy("th").agg(F.count("*").alias("n"), F.sum(F.col("again").cast("long")).alias("again"))
+    common = common.where((F.col("n") >= COMMON_TALKS) & ((F.col("n") > 2 * F.col("again")) | (F.col("n") >= COMMON_SHARE * talks))).select("th")
+    own = F.col("own") & (F.col("no") >= 0)
+    return before.where(~own).select("nid", "no").unionByName(before.where(own).join(common, "th", "left_anti").select("nid", "no"))
+
+
+def boilerplate(told: DataFrame) -> DataFrame:
+    """(nid, no): lines outside quotations that recur under their sender or over senders; no is -1 - line."""
+    lines = told.where("who IS NOT NULL").select("nid", "who", F.coalesce("talk", "nid").alias("talk"), F.explode("plates").alias("p")).select("nid", "who", "talk", "p.line", "p.head", "p.mask")
+    per = lines.groupBy("who", "mask").agg(F.count("*").alias("n"), F.sum(F.col("head").cast("long")).alias("h"), (F.min("talk") != F.max("talk")).alias("several"))
+    per = materialise(per, "lines")
+    everywhere = per.groupBy("mask").agg(F.sum("n").alias("n"), F.sum("h").alias("h"), F.count("*").alias("senders"))
+    stock = per.where((F.col("n") >= SENDER_MAILS) & F.col("several") & (F.col("h") <= MOST_FIRST * F.col("n"))).select("who", "mask")
+    shared = everywhere.where((F.col("n") >= ALL_MAILS) & (F.col("senders") >= ALL_SENDERS) & (F.col("h") <= MOST_FIRST * F.col("n"))).select("mask")
+    stock = stock.unionByName(per.join(shared, "mask", "left_semi").select("who", "mask")).distinct()
+    return lines.join(stock, ["who", "mask"], "left_semi").select("nid", (-1 - F.col("line")).alias("no"))
+
+
+def _spans(sents: Column) -> Column:
+    return F.flatten(F.transform(sents, lambda s: F.sequence(s["first"], s["last"])))
 
 
-def inherited_lines(messages: DataFrame, bodies: DataFrame) -> DataFrame:
+def judged(messages: DataFrame, bodies: DataFrame, marks: bool = True) -> DataFrame:
+    """Every body that is not blank as (nid, marked, said, stock): lines it marks itself, lines of sentences said before, lines
+    of boilerplate. The last two hold lines with and without a mark.
+
+    A sentence without a mark counts only beside another such, one alone may be what people say anyway, and not in a
+    copy; its line stays if another new sentence shares it. A line without a mark is
+    boilerplate if nothing new comes behind it.
+    """
+    told = materialise(read(mails_of(messages, bodies), marks), "parts")
+    hits = repeated(told).unionByName(boilerplate(told)).groupBy("nid").agg(F.collect_set("no").alias("hits"))
+    d = told.select("nid", "marked", F.transform("sents", lambda s, i: F.struct(i.alias("no"), s["first"].alias("first"), s["last"].alias("last"), s["own"].alias("own"))).alias("sents"), F.transform("plates", lambda p: F.struct(p["line"].alias("line"), p["own"].alias("own"))).alias("plates"))
+    d = d.join(hits, "nid", "left").withColumn("hits", F.coalesce("hits", F.array().cast("array<int>")))
+    hit = lambda no: F.array_contains("hits", no)
+    d = d.withColumn("own_hits", F.filter("sents", lambda s: s["own"] & hit(s["no"]) & ~hit(F.lit(-1)))["no"])
+    beside = lambda s: F.array_contains("own_hits", s["no"]) & (F.array_contains("own_hits", s["no"] + 1) | F.array_contains("own_hits", s["no"] - 1))
+    d = d.withColumn("taken", F.filter("sents", beside)).withColumn("left", F.filter("sents", lambda s: s["own"] & ~beside(s)))
+    d = d.withColumn("mine", F.array_except(_spans(F.col("taken")), _spans(F.col("left"))))
+    plates = F.transform(F.filter("plates", lambda p: hit(-1 - p["line"])), lambda p: p["line"])
+    # A line is no boilerplate if a new sentence goes on in another line.
+    whole = lambda s: F.size(F.array_except(F.sequence(s["first"], s["last"]), "plates_hit")) == 0
+    d = d.withColumn("plates_hit", plates).withColumn("plates_hit", F.array_except("plates_hit", _spans(F.filter("left", lambda s: ~whole(s)))))
+    new = F.filter("plates", lambda p: p["own"] & ~F.array_contains("plates_hit", p["line"]) & ~F.array_contains("mine", p["line"]))
+    d = d.withColumn("behind", F.coalesce(F.array_max(F.transform(new, lambda p: p["line"])), F.lit(0)))
+    stock = F.filter("plates_hit", lambda x: F.array_contains("marked", x) | (x > F.col("behind")))
+    said = F.array_union(F.col("mine"), _spans(F.filter("sents", lambda s: ~s["own"] & hit(s["no"]))))
+    return d.select("nid", "marked", said.alias("said"), stock.alias("stock"))
+
+
+def inherited_lines(messages: DataFrame, bodies: DataFrame, marks: bool = True) -> DataFrame:
     """(nid, line_no) of the lines of body_plain that the sender did not newly write.
 
     Blank lines are never returned; a line that begins a new sentence stays. NULL and blank bodies
-    have no lines; rows without topic have no conversation, without delivery time no earlier mail, and
-    are read by their own marks only. Repeated rows give their lines once.
+    have no lines; rows without topic have no conversation, without delivery time no earlier mail, without sender
+    no boilerplate. Repeated rows give their lines once. ``marks=False`` leaves out what mails say of themselves.
     """
-    told = materialise(read(bodies), "parts")
-    marked = told.select("nid", F.explode("marked").alias("line_no"))
-    when = messages.select("nid", F.col("delivered_us").alias("us")).join(bodies.select("nid", F.xxhash64(topic_key(F.col("conversation_topic"))).alias("topic"), topic_key(F.col("conversation_topic")).isNotNull().alias("has")), "nid").where("has AND us IS NOT NULL").drop("has")
-    began = when.groupBy("topic").agg(F.min("us").alias("begun"), F.count("*").alias("mails")).where("mails > 1").drop("mails")
-    units = told.select("nid", "whole", F.posexplode("units").alias("no", "u"))
-    talk = units.select("nid", "whole", "no", "u.first", "u.last", "u.own", "u.fp", "u.num", "u.th").join(when.join(began, "topic"), "nid")
-    talk = materialise(talk, "talk")
-    since = earlier(talk, units.select("u.th", "u.text"))
-    mine = talk.where("own AND us > begun").select("nid", "whole", "no", "first", "last", "topic", "th", "us")
-    # Only what was said before is looked up again, so most sentences end here.
-    before = materialise(mine.join(since, ["topic", "th"]).where(F.col("since") < F.col("us")).drop("since", "us"), "before")
-    # A mail with the same words as an earlier one, short sentences included, is a copy of it, not a reply that holds it.
-    origin = talk.where("own").groupBy("topic", "whole").agg(F.min(F.struct("us", "nid")).alias("o"))
-    before = before.join(origin, ["topic", "whole"]).where(F.col("nid") == F.col("o.nid")).select("nid", "no", "first", "last", "th")
-    before = materialise(before, "replies")
-    asked = materialise(before.select("th").distinct(), "asked")
-    asked = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked
-    each = talk.where("own").join(asked, "th", "left_semi").groupBy("th", "topic").agg((F.min("whole") != F.max("whole")).alias("again"))
-    talks = talk.select("topic").distinct().count()
-    common = each.groupBy("th").agg(F.count("*").alias("n"), F.sum(F.col("again").cast("long")).alias("again"))
-    common = common.where((F.col("n") >= COMMON_TALKS) & ((F.col("n") > 2 * F.col("again")) | (F.col("n") >= COMMON_SHARE * talks))).select("th")
-    before = before.join(common, "th", "left_anti").drop("th")
-    units = units.select("nid", "no", "u.first", "u.last", "u.own", "u.tail", "u.th", "u.mask")
-    # Two sentences in a row: one alone may be what people say anyway.
-    row = Window.partitionBy("nid").orderBy("no")
-    beside = F.coalesce(F.lead("no").over(row) == F.col("no") + 1, F.lit(False)) | F.coalesce(F.lag("no").over(row) == F.col("no") - 1, F.lit(False))
-    taken = before.withColumn("beside", beside).where("beside").drop("beside")
-
-    masked = units.where("own")
-    shape = masked.groupBy("mask").agg(F.count("*").alias("n"), F.sum(F.col("tail").cast("long")).alias("k"))
-    stock = shape.where((F.col("n") >= BOILERPLATE_MAILS) & (F.col("k") >= BOILERPLATE_TAIL * F.col("n"))).select("mask")
-    # The tail alone can be boilerplate.
-    plates = masked.where("tail").join(stock, "mask", "left_semi").select("nid", "no", "first", "last")
-
-    out = taken.unionByName(plates).select("nid", "no", F.explode(F.sequence("first", "last")).alias("line_no"))
-    keep = units.where("own").join(out.select("nid").distinct(), "nid", "left_semi").join(taken.unionByName(plates).select("nid", "no").distinct(), ["nid", "no"], "left_anti")
-    keep = keep.select("nid", F.explode(F.sequence("first", "last")).alias("line_no"))
-    more = out.select("nid", "line_no").join(keep, ["nid", "line_no"], "left_anti")
-    return marked.unionByName(more).distinct()
+    every = F.array_union(F.array_union("said", "stock"), "marked")
+    # Already laid out by nid: no further shuffle.
+    return judged(messages, bodies, marks).select("nid", F.explode(every).alias("line_no")).distinct()
+
+
+def evidence(messages: DataFrame, bodies: DataFrame) -> DataFrame:
+    """(evidence, n_lines) of the inherited lines: "said before", "boilerplate" or "mark only", the first that holds."""
+    every = F.array_union(F.array_union("said", "stock"), "marked")
+    d = judged(messages, bodies).select(F.explode(F.transform(every, lambda x: F.when(F.array_contains("said", x), "said before").when(F.array_contains("stock", x), "boilerplate").otherwise("mark only"))).alias("evidence"))
+    return d.groupBy("evidence").agg(F.count("*").alias("n_lines"))
 
 
 def own_text(messages: DataFrame, bodies: DataFrame) -> DataFrame:
