@@ -1,9 +1,10 @@
 """Rebuilding conversations from message rows by pointer jumping.
 
-A turn's parent is the turn before it in its conversation. Rows are laid out by range, so that a
-conversation is a chain of segments, one per range partition it touches; inside a segment every
-turn is pointed at the head at once, and the heads' parent pointers are resolved by pointer
-jumping. A conversation of any length is thus ranked without ever being in one task.
+Every turn points at its parent, the turn before it in its conversation. Rows are laid out by range, so that the
+turn before is found without a conversation ever being in one task. A turn that cannot be placed or has no
+sender, and a first turn that is itself a reply, answer a message that isn't there. All pointers are resolved
+by iterative self-joins that double their reach; conversations with an orphan or a cycle are
+dropped, the others leave as paths from their root to their last turn.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from postlake.operators.dedup import further_copies
 from postlake.operators.skew import join_facts
 from postlake.session import materialise
 
+#: The parent of a turn whose parent is not in the mailbox; no message has this id.
+ABSENT = -(1 << 63)
 #: Reply and forward prefixes of mail clients in several languages.
 PREFIXES = ("re", "fw", "fwd", "aw", "wg", "tr", "rv", "sv", "vs", "antw", "réf", "ref", "res", "enc")
 PREFIX_RE = r"(?iu)^[\s ]*(?:(?:" + "|".join(PREFIXES) + r")[\s ]*(?:\[\d+\]|\(\d+\))?[\s ]*[:：][\s ]*)+"
@@ -32,91 +35,72 @@ def topic_key(topic: Column) -> Column:
 
 
 def pointer_jump(nodes: DataFrame) -> DataFrame:
-    """Resolve (id, parent, weight): id, root, before, state.
+    """Resolve (id, parent): id, root, before, state.
 
-    ``before`` is the sum of the weights of all ancestors. ``state`` is "rooted", "orphan" (the chain
+    ``before`` is the number of ancestors. ``state`` is "rooted", "orphan" (the chain
     ends at an id that isn't there) or "cycle" (it doesn't end). A self-parent is a cycle. Ids must be unique and
     not NULL. Each round doubles the distance a pointer spans, so the rounds are the logarithm of
-    the longest chain; ids on or above a cycle are what still points when no round changes that.
+    the longest chain; ids on or above a cycle are what still points when no round changes that. A round moves
+    the pointers alone, not what rows hold besides.
     """
-    start = nodes.select("id", F.col("parent").alias("ptr"), F.col("id").alias("root"), F.lit(0).cast("long").alias("before"), F.col("weight").cast("long").alias("span"), F.lit(False).alias("lost"))
-    now, live, rounds = materialise(start, "jump"), None, 0
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    now = materialise(nodes.select("id", F.col("parent").alias("ptr"), F.col("id").alias("root"), F.when(F.col("parent").isNull(), none).otherwise(one).alias("before"), F.lit(False).alias("lost")), "jump")
+    rounds, live = 0, None
     while True:
-        count = now.where(F.col("ptr").isNotNull()).count()
+        count = now.where("ptr IS NOT NULL").count()
         # A chain of n nodes is done after log2(n) rounds; what points on is a cycle.
         live = count if live is None else live
         if not count or 2**rounds > 2 * live + 2:
             break
-        to = now.select(F.col("id").alias("t"), F.col("ptr").alias("t_ptr"), F.col("root").alias("t_root"), F.col("span").alias("t_span"), F.col("lost").alias("t_lost"))
-        j = now.join(to, now["ptr"] == to["t"], "left")
-        gone = F.col("ptr").isNotNull() & F.col("t").isNull()
-        now = materialise(
-            j.select(
-                "id",
-                F.col("t_ptr").alias("ptr"),
-                F.coalesce("t_root", "root").alias("root"),
-                (F.col("before") + F.coalesce("t_span", F.lit(0).cast("long"))).alias("before"),
-                (F.col("span") + F.coalesce("t_span", F.lit(0).cast("long"))).alias("span"),
-                (F.col("lost") | gone | F.coalesce("t_lost", F.lit(False))).alias("lost"),
-            ),
-            "jump",
-        )
+        to = now.select(F.col("id").alias("t"), F.col("ptr").alias("t_ptr"), F.col("root").alias("t_root"), F.col("before").alias("t_before"), F.col("lost").alias("t_lost"))
+        j = now.where("ptr IS NOT NULL").join(to, F.col("ptr") == F.col("t"), "left")
+        gone = F.col("t").isNull()
+        moved = j.select("id", F.col("t_ptr").alias("ptr"), F.coalesce("t_root", "root").alias("root"), (F.col("before") + F.coalesce("t_before", -one)).alias("before"), (gone | F.coalesce("t_lost", F.lit(False))).alias("lost"))
+        now = materialise(now.where("ptr IS NULL").unionByName(moved), "jump")
         rounds += 1
     state = F.when(F.col("ptr").isNotNull(), "cycle").when(F.col("lost"), "orphan").otherwise("rooted")
     return now.select("id", "root", "before", state.alias("state"))
 
 
 def turns(messages: DataFrame, bodies: DataFrame) -> DataFrame:
-    """nid, delivered_us, sender_email, subject, topic: rows that are turns of some topic."""
+    """nid, delivered_us, sender_email, subject, topic: rows that are turns of some topic, once each."""
     said = bodies.where(has_text(F.col("body_plain"))).select("nid", topic_key(F.col("conversation_topic")).alias("topic")).where("topic IS NOT NULL")
     rows = messages.select("nid", "delivered_us", "sender_email", "subject").join(said, "nid")
-    return rows.join(further_copies(messages, bodies), "nid", "left_anti")
+    return rows.join(further_copies(messages, bodies), "nid", "left_anti").dropDuplicates(["nid"])
 
 
-def whole(rows: DataFrame, accounts: DataFrame) -> DataFrame:
-    """topic, conv_nid, n of the conversations to keep, by partial aggregation."""
-    mine = accounts.where(has_text(F.col("address"))).select(F.lower(F.trim("address")).alias("who"), F.lit(True).alias("own")).distinct()
-    # accounts holds the addresses of one mailbox owner, written by hand.
-    told = rows.withColumn("who", F.lower(F.trim("sender_email"))).join(F.broadcast(mine), "who", "left")
-    owner = F.coalesce("own", F.lit(False))
-    per = told.groupBy("topic").agg(
-        F.min("nid").alias("conv_nid"),
-        F.count("*").alias("n"),
-        F.min(has_text(F.col("sender_email")) & F.col("delivered_us").isNotNull()).alias("sound"),
-        F.min(F.struct("delivered_us", "nid", F.coalesce(F.regexp_like("subject", F.lit(PREFIX_RE)), F.lit(False)).alias("reply"))).alias("first"),
-        F.max(owner).alias("mine"),
-        F.max(~owner).alias("theirs"),
-    )
-    return per.where(F.col("sound") & ~F.col("first.reply") & F.col("mine") & F.col("theirs")).select("topic", "conv_nid", "n")
-
-
-def ranked(rows: DataFrame) -> DataFrame:
-    """(conv_nid, delivered_us, nid, ...) with ``turn``, from 1 within conv_nid by delivered_us, nid."""
-    laid = materialise(rows.repartitionByRange("conv_nid", "delivered_us", "nid").withColumn("seg", F.spark_partition_id()), "laid")
-    place = F.row_number().over(Window.partitionBy("conv_nid", "seg").orderBy("delivered_us", "nid"))
-    # A conversation has at most one segment a range partition.
-    heads = laid.groupBy("conv_nid", "seg").agg(F.count("*").alias("weight"))
-    chain = Window.partitionBy("conv_nid")
-    heads = heads.withColumn("parts", F.count("*").over(chain)).where("parts > 1").withColumn("prev", F.lag("seg").over(chain.orderBy("seg")))
-    name = lambda seg: F.when(F.col(seg).isNotNull(), F.concat_ws(":", "conv_nid", seg))
-    jumped = pointer_jump(heads.select(name("seg").alias("id"), name("prev").alias("parent"), "weight")).where("state = 'rooted'")
-    offset = jumped.select(F.split("id", ":")[0].cast("long").alias("conv_nid"), F.split("id", ":")[1].cast("int").alias("seg"), "before")
-    return laid.withColumn("place", place).join(offset, ["conv_nid", "seg"], "left").withColumn("turn", (F.col("place") + F.coalesce("before", F.lit(0).cast("long"))).cast("int")).drop("place", "before", "seg")
+def parents(rows: DataFrame) -> DataFrame:
+    """(id, parent) of the turns: the turn before in the topic by delivered_us, then nid; NULL for a first turn, ABSENT for a turn
+    without sender or time and for a first turn with a reply or forward prefix.
+
+    The last turn of each range partition is handed on to the next: at most one row a topic and partition.
+    """
+    timed = rows.where("delivered_us IS NOT NULL").select("topic", "delivered_us", "nid", has_text(F.col("sender_email")).alias("sent"), F.coalesce(F.regexp_like("subject", F.lit(PREFIX_RE)), F.lit(False)).alias("reply"))
+    laid = materialise(timed.repartitionByRange("topic", "delivered_us", "nid").withColumn("seg", F.spark_partition_id()), "laid")
+    within = Window.partitionBy("topic", "seg").orderBy("delivered_us", "nid")
+    near = laid.withColumn("prev", F.lag("nid").over(within))
+    ends = laid.groupBy("topic", "seg").agg(F.max(F.struct("delivered_us", "nid"))["nid"].alias("end"))
+    handed = ends.withColumn("end", F.lag("end").over(Window.partitionBy("topic").orderBy("seg"))).where("end IS NOT NULL")
+    linked = near.join(handed, ["topic", "seg"], "left").withColumn("prev", F.coalesce("prev", "end"))
+    parent = F.when(~F.col("sent") | (F.col("prev").isNull() & F.col("reply")), F.lit(ABSENT)).otherwise(F.col("prev"))
+    unplaced = rows.where("delivered_us IS NULL").select(F.col("nid").alias("id"), F.lit(ABSENT).alias("parent"))
+    return linked.select(F.col("nid").alias("id"), parent.alias("parent")).unionByName(unplaced)
 
 
 def conversations(messages: DataFrame, bodies: DataFrame, accounts: DataFrame) -> DataFrame:
     """conv_nid, turn, nid, role of every turn of a whole conversation.
 
-    Dropped: conversations with a turn without sender or delivery time (broken), whose first turn is
-    itself a reply or forward (its beginning is missing), or in which only one side writes. Rows
-    without topic or text and further copies are no turns. Ties in delivery go by nid. Empty tables
-    give no rows; other columns are ignored.
+    Dropped: conversations with an orphan or a cycle among their turns (see :func:`parents`), or in which only one side
+    writes. Rows without topic or text and further copies are no turns. Ties in delivery go by nid. Repeated rows count
+    once. Empty tables give no rows; other columns are ignored.
     """
-    rows = turns(messages, bodies)
-    rows = materialise(rows, "turns")
-    kept = materialise(whole(rows, accounts), "kept")
-    mine = accounts.where(has_text(F.col("address"))).select(F.lower(F.trim("address")).alias("who")).distinct().withColumn("role", F.lit("owner"))
+    rows = materialise(turns(messages, bodies), "turns")
+    # accounts holds the addresses of one mailbox owner, written by hand.
+    mine = accounts.where(has_text(F.col("address"))).select(F.lower(F.trim("address")).alias("who"), F.lit("owner").alias("role")).distinct()
+    told = rows.select("nid", "topic", F.lower(F.trim("sender_email")).alias("who")).join(F.broadcast(mine), "who", "left").select("nid", "topic", F.coalesce("role", F.lit("correspondent")).alias("role"))
+    jumped = pointer_jump(parents(rows)).select(F.col("id").alias("nid"), "state", (F.col("before") + 1).cast("int").alias("turn"))
+    told = materialise(told.join(jumped, "nid"), "told")
+    per = told.groupBy("topic").agg(F.min("nid").alias("conv_nid"), F.count("*").alias("n"), F.min(F.col("state") == "rooted").alias("sound"), (F.min("role") != F.max("role")).alias("both"))
+    kept = materialise(per.where("sound AND both").select("topic", "conv_nid", "n"), "kept")
     # One topic may hold a third of the rows.
-    told = join_facts(rows, kept, ["topic"]).withColumn("who", F.lower(F.trim("sender_email")))
-    told = told.join(F.broadcast(mine), "who", "left").select("conv_nid", "nid", "delivered_us", F.coalesce("role", F.lit("correspondent")).alias("role"))
-    return ranked(told).select("conv_nid", "turn", "nid", "role")
+    return join_facts(told, kept, ["topic"]).select("conv_nid", "turn", "nid", "role")
