@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import weakref
 import zipfile
 from pathlib import Path
 
@@ -74,16 +75,38 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path and the path in it, whatever kind it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = file_system(spark, path)
+    fs.delete(at, True)
+
+
+_HELD: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder, removed when the driver ends."""
+    """A new path in the shared folder, removed on any file system when the session's driver ends."""
     path = f"{shared_dir(spark)}/postlake-{label}-{uuid.uuid4().hex[:12]}"
+    sc = spark.sparkContext
+    if sc not in _HELD:
+        _HELD[sc] = []
+        atexit.register(_clean, weakref.ref(sc), spark)
+    _HELD[sc].append(path)
+    return path
 
-    def remove() -> None:
-        shutil.rmtree(Path(path.removeprefix("file://").removeprefix("file:")), ignore_errors=True)
 
-    if path.startswith(("file:", "/")):
-        atexit.register(remove)
-    return path
+def _clean(sc: weakref.ref, spark: SparkSession) -> None:
+    for path in _HELD.get(sc(), []) if sc() is not None else []:
+        try:
+            remove(spark, path)
+        except Exception:  # noqa: BLE001
+            # The session has ended: what lies on a local disk can go without it.
+            shutil.rmtree(Path(path.removeprefix("file://").removeprefix("file:")), ignore_errors=True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
