@@ -1,8 +1,8 @@
 """Markup residue: HTML, typed markup (Markdown, wiki, TeX) inside it, and RTF, to clean text.
 
 A page is read as a sequence of words and tags. Words score positive, tags by their kind, with
-weights that are log odds over labelled pages; a linear scan finds the contiguous region of the
-greatest score, and what lies outside it is dropped. The region's blocks keep what they are:
+weights that are log odds over labelled pages, and words of links and controls by theirs; a linear scan finds the contiguous
+region of the greatest score, and what lies outside it is dropped. The region's blocks keep what they are:
 paragraph, heading, list item, code or formula.
 """
 
@@ -24,14 +24,21 @@ Block = tuple[str, str]
 _TOKEN = re.compile(r"(?is)<!--.*?(?:-->|$)|<(script|style|title|xml)\b[^>]*>.*?(?:</\1\s*>|$)|<!\[[^>]*>|</?[a-z!?][^<>]*>|[^<]+|<")
 _NAME = re.compile(r"</?([a-z][a-z0-9:]*)", re.I)
 
-#: Labelled pages for the weights: what stands between the two bars is content.
+#: Labelled pages for the weights, invented: what stands between two bars is content, the rest is what clients, gateways and
+#: site templates put around it. This list is the whole of the sample and its bound.
 LABELLED = (
     "<html><head><title>Mail</title><style>p{margin:0}</style></head><body>|<h2>Plan</h2><p>We move the store on Monday and test it on Tuesday.</p><ul><li>copy the folders</li><li>count the rows</li></ul><p>Who has the key?</p>|<img src='x' width=1 height=1></body></html>",
     "<html><head><meta charset='utf-8'><!-- made by a client --></head><body lang='EN'>|<p>The report is late.</p><pre>run --all</pre><ol><li>first</li><li>second</li></ol><table><tr><td>a</td><td>one more cell</td></tr></table>|</body></html><!-- gw 1 -->",
     "<div>|Hello all,<br><br>the index is <b>ready</b>, see <i>below</i>.<br><h3>Next</h3><p>x <math><mtext>a+b</mtext></math> holds</p>|</div>",
     "<html><head><script>var a='<h1>no</h1>';</script><link rel='x'></head><body><div>|<p>All <span>words</span> count here, and <code>this</code> too.</p><blockquote><p>quoted words</p></blockquote>|<a href='u'></a><img src='t.gif'></div></body></html>",
+    "<html><body><nav><ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li><li><a href='/a'>About us</a></li></ul></nav><div>|<h1>Release notes</h1><p>The reader opens large stores in place, see <a href='/d'>the notes</a> for details.</p><p>Nothing else changed.</p>|</div><footer><a href='/i'>Imprint</a> <a href='/p'>Privacy</a> <a href='/u'>Unsubscribe</a></footer></body></html>",
+    "<html><body><table><tr><td><a href='v'>View in browser</a></td><td><a href='f'>Forward</a></td></tr></table>|<h2>Digest</h2><p>Three folders were repaired this week.</p><ul><li>inbox of the service desk</li><li>archive of <a href='q'>last quarter</a></li></ul>|<table><tr><td><a href='p'>Preferences</a></td><td><a href='u'>Unsubscribe</a></td><td><img src='o.gif' width=1></td></tr></table></body></html>",
+    "<div><a href='s'>Skip to content</a> <a href='m'>Menu</a><form><input><select><option>en</option><option>de</option></select></form></div><div>|<p>Please compare both lists and tell me which rows are missing by Friday.</p><pre>a = b</pre>|</div><ul><li><a href='1'>Share</a></li><li><a href='2'>Print</a></li><li><a href='3'>Top</a></li></ul>",
 )
 
+#: Elements of a page that hold its controls, not its text.
+_CHROME = frozenset("nav footer aside form select option button menu noscript".split())
+
 
 def _kind(token: str) -> str:
     if token.startswith("<!") or token.startswith("<?"):
@@ -40,26 +47,46 @@ def _kind(token: str) -> str:
     return m.group(1).lower() if m else "word"
 
 
-def _weighed(token: str) -> str:
+def _weighed(kind: str) -> str:
     """The kind a weight is held for: headings of all levels share one."""
-    kind = _kind(token)
     return "h" if len(kind) == 2 and kind[0] == "h" and kind[1].isdigit() else kind
 
 
+def classes(tokens: list[str]) -> list[tuple[str, int]]:
+    """(kind, times) of each token of a page: "word" with its number of words, "link" for words of a link, "chrome" for
+    words of a page's controls, else the tag; white space counts 0 times."""
+    out, link, chrome = [], 0, 0
+    for t in tokens:
+        if t[0] != "<" or len(t) == 1:
+            out.append(("chrome" if chrome else "link" if link else "word", len(t.split())))
+            continue
+        kind = _kind(t)
+        step = 0 if t.endswith("/>") else -1 if t[1] == "/" else 1
+        if kind == "a":
+            link = max(0, link + step)
+        elif kind in _CHROME:
+            chrome = max(0, chrome + step)
+        out.append((_weighed(kind), 1))
+    return out
+
+
+WORDS = ("word", "link", "chrome")
+
+
 def fit_weights(pages: tuple[str, ...] = LABELLED) -> dict[str, float]:
     """Log odds that a token of a kind is content, from pages with two bars around the content.
 
-    Bounded by the pages given; kinds not seen get the weight "?".
+    Tags never speak for content: the best of them costs a little. Bounded by the pages given; kinds not
+    seen get the weight "?".
     """
     inside, outside = Counter(), Counter()
     for page in pages:
-        for i, part in enumerate(page.split("|")):
-            for m in _TOKEN.finditer(part):
-                t = m.group()
-                n = len(t.split()) if t[0] != "<" else 1
-                (inside if i == 1 else outside)[_weighed(t) if t[0] == "<" else "word"] += n
-    total = {k: math.log((inside[k] + 0.5) / (outside[k] + 0.5)) for k in inside.keys() | outside.keys()}
-    return total | {"?": -0.5}
+        first, last = page.index("|"), page.rindex("|") - 1
+        tokens = [m for m in _TOKEN.finditer(page.replace("|", ""))]
+        for m, (kind, n) in zip(tokens, classes([m.group() for m in tokens])):
+            (inside if first <= m.start() < last else outside)[kind] += n
+    odds = {k: math.log((inside[k] + 0.5) / (outside[k] + 0.5)) for k in inside.keys() | outside.keys()}
+    return {k: v if k in WORDS else min(v, 0.0) - 0.1 for k, v in odds.items()} | {"?": -0.5}
 
 
 @functools.lru_cache(maxsize=1)
@@ -70,24 +97,25 @@ def default_weights() -> dict[str, float]:
 _PAGE = frozenset("html head body meta link ! script style title xml img".split())
 
 
-def content_region(tokens: list[str], weights: dict[str, float]) -> tuple[int, int]:
-    """First and behind-last token of the region of the greatest score: one linear scan.
+def best_span(scored: list[tuple[str, int]], weights: dict[str, float]) -> tuple[int, int]:
+    """First and behind-last item of the contiguous span of the greatest score: one linear scan.
 
-    The earliest of several best regions; (0, 0) if no token scores positive.
+    The earliest of several best spans; (0, 0) if nothing scores positive.
     """
-    best, best_at, run, start = 0.0, (0, 0), 0.0, 0
-    other, word = weights["?"], weights["word"]
-    for i, t in enumerate(tokens):
-        if t[0] == "<" and len(t) > 1:
-            run += weights.get(_weighed(t), other)
-        elif not t.isspace():
-            run += word * len(t.split())
+    best, best_at, run, start, other = 0.0, (0, 0), 0.0, 0, weights["?"]
+    for i, (kind, n) in enumerate(scored):
+        run += weights.get(kind, other) * n
         if run <= 0:
             run, start = 0.0, i + 1
         elif run > best:
             best, best_at = run, (start, i + 1)
-    a, b = best_at
-    # The tags that open right before the first word say what block it is in.
+    return best_at
+
+
+def content_region(tokens: list[str], weights: dict[str, float]) -> tuple[int, int]:
+    """First and behind-last token of a page's content, with the tags that open right before its first word: they say
+    what block it is in."""
+    a, b = best_span(classes(tokens), weights)
     while b and a and (tokens[a - 1].isspace() or (tokens[a - 1][0] == "<" and tokens[a - 1][1:2] != "/" and _kind(tokens[a - 1]) not in _PAGE)):
         a -= 1
     return a, b
@@ -226,7 +254,6 @@ def _large(tag: str) -> bool:
 def html_blocks(page: str, weights: dict[str, float] | None = None) -> list[Block]:
     """Blocks of an HTML page. Comments, styles and scripts hold none, nor does what code holds."""
     tokens = [m.group() for m in _TOKEN.finditer(page)]
-    # Page-level tags and what is hidden carry no words: they are kept out of the scan's region by weight.
     a, b = content_region(tokens, weights or default_weights())
     region = tokens[a:b]
     # A container that opens before the region and governs its white space still does.
@@ -326,14 +353,33 @@ _SKIP = frozenset("fonttbl colortbl stylesheet info pict object header footer he
 _CHARS = {"bullet": "•", "tab": "\t", "line": "\n", "emdash": "—", "endash": "–", "lquote": "‘", "rquote": "’", "ldblquote": "“", "rdblquote": "”", "~": " ", "_": "-"}
 
 
-def rtf_blocks(source: str) -> list[Block]:
-    """Blocks of an RTF document. A paragraph is a heading by outline level or a type size over the
+def rtf_classes(tokens: list[re.Match]) -> list[tuple[str, int]]:
+    """(kind, times) of the tokens of a document: words, hidden words as what a page hides, control words as plain tags."""
+    out, hidden, stack = [], False, []
+    for m in tokens:
+        word, _, hexed, sign, brace, plain = m.groups()
+        if brace == "{":
+            stack.append(hidden)
+        elif brace and stack:
+            hidden = stack.pop()
+        elif word in _SKIP or word in ("pntext", "listtext") or sign == "*":
+            hidden = True
+        n = len(plain.split()) if plain is not None else int(hexed is not None or word in _CHARS or word == "u" or (sign is not None and sign in "\\{}~_"))
+        out.append(("!" if hidden else "word", n) if n else ("p", int(word in ("par", "row"))))
+    return out
+
+
+def rtf_blocks(source: str, weights: dict[str, float] | None = None) -> list[Block]:
+    """Blocks of the content region of an RTF document. A paragraph is a heading by outline level or a type size over the
     document's own, code in a monospaced font, a list item by its numbering text or bullet."""
     mono = set(re.findall(r"\{\\f(\d+)\\fmodern", source))
     out: list[Block] = []
     # State that groups save: hidden, font is monospaced, size.
     state, stack = [False, False, 0], []
     base, text, sizes, monos, item, outline, skip_uc = 0, [], set(), set(), False, False, 0
+    tokens = list(_RTF.finditer(source))
+    region = best_span(rtf_classes(tokens), weights or default_weights())
+    within = False
 
     def flush() -> None:
         nonlocal text, sizes, monos, item, outline
@@ -351,14 +397,15 @@ def rtf_blocks(source: str) -> list[Block]:
         text, sizes, monos, item = [], set(), set(), False
 
     def put(s: str) -> None:
-        if not state[0]:
+        if within and not state[0]:
             text.append(s)
             if s.strip():
                 sizes.add(state[2])
                 monos.add(state[1])
 
-    for m in _RTF.finditer(source):
+    for at, m in enumerate(tokens):
         word, num, hexed, sign, brace, plain = m.groups()
+        within = region[0] <= at < region[1]
         if plain is not None:
             if skip_uc:
                 plain, skip_uc = plain[skip_uc:], 0
@@ -372,7 +419,7 @@ def rtf_blocks(source: str) -> list[Block]:
             if word in _SKIP:
                 state[0] = True
             elif word in ("pntext", "listtext"):
-                item, state[0] = True, True
+                item, state[0] = item or at < region[1], True
             elif word == "par" or word == "row":
                 flush()
             elif word == "pard":
@@ -419,7 +466,7 @@ COUNTED = ("heading", "list_item", "code", "formula")
 
 def blocks(field: str, value: str, weights: dict[str, float] | None = None) -> list[Block]:
     """Blocks of a value, formulas within text as blocks of their own behind it."""
-    found = html_blocks(value, weights) if field == "body_html" else rtf_blocks(value)
+    found = html_blocks(value, weights) if field == "body_html" else rtf_blocks(value, weights)
     out = []
     for k, t in found:
         out.append((k, t))
