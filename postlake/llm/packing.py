@@ -3,7 +3,8 @@
 A container has three residual capacities: tokens, documents and attention cost (the sum of squared
 lengths). Items go in by decreasing length to the open container that satisfies every constraint
 and has the best score: the largest weighted dot product of item and residual in "dot" mode, or the
-smallest weighted norm of what would remain in "norm" mode.
+smallest weighted norm of what would remain in "norm" mode. An item that alone exceeds the attention cost, not
+the tokens, opens a container and leaves no cost for others.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from pyspark.sql import functions as F
 from postlake.llm.tokens import VOCABULARY, count_tokens
 from postlake.session import materialise
 
+#: Attention cost a container may hold by default, as a share of that of one item of the full capacity.
+COST_SHARE = 0.8
+
 
 def best_fit(sizes: np.ndarray, capacity: int, max_docs: int, max_cost: int, weights: tuple[float, float, float] = (1.0, 0.05, 0.05), mode: str = "norm") -> np.ndarray:
     """Container number of each item; items come in the order given.
@@ -59,7 +63,7 @@ def best_fit(sizes: np.ndarray, capacity: int, max_docs: int, max_cost: int, wei
                 del order[bisect_left(order, at)]
             t, d, a = at
         out[i] = number
-        key = (t - n, d - 1, a - cost)
+        key = (t - n, d - 1, max(0, a - cost))
         if key[1] > 0 and (key[0] > 0):
             if key in classes:
                 classes[key].append(number)
@@ -81,15 +85,13 @@ def items_of(documents: DataFrame, capacity: int, path: str = VOCABULARY) -> Dat
 def pack(documents: DataFrame, capacity: int, max_docs: int | None = None, max_cost: int | None = None, per_shard: int = 25_000, mode: str = "norm", path: str = VOCABULARY) -> DataFrame:
     """Assign every text to a container: doc_id, part, start_token, n_tokens, container.
 
-    A text is split only if it alone exceeds ``capacity``. ``max_docs`` defaults to capacity / 8 and
-    ``max_cost`` to capacity squared. Items are spread by a hash over shards of about ``per_shard``
-    items, packed independently; a shard leaves a handful of containers part-filled whatever the
+    A text is split only if it alone exceeds ``capacity``. ``max_docs`` defaults to a document for each 64 tokens
+    of capacity, ``max_cost`` to COST_SHARE of the capacity squared: both bind. Items are spread by a hash over shards of
+    about ``per_shard`` items, packed independently; a shard leaves a handful of containers part-filled whatever the
     size of the input. NULL and empty texts are items of no tokens. Repeated doc_ids are items of their own.
     """
-    max_docs = max_docs or max(1, capacity // 8)
-    max_cost = max_cost or capacity * capacity
-    if max_cost < capacity * capacity:
-        raise ValueError("an item of the full capacity must fit: max_cost is too small")
+    max_docs = max_docs or max(1, capacity // 64)
+    max_cost = max_cost or int(COST_SHARE * capacity * capacity)
     items = materialise(items_of(documents, capacity, path), "items")
     shards = max(1, -(-items.count() // per_shard))
     schema = "doc_id long, part int, start_token long, n_tokens long, container string"

@@ -68,6 +68,11 @@ def _people(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     return tuple(table(spark, d, t) for t in ("messages", "message_bodies", "recipients", "name_forms"))
 
 
+@query()
+def p1_evidence(spark: SparkSession, d: str) -> DataFrame:
+    return quoted.evidence(table(spark, d, "messages"), table(spark, d, "message_bodies"))
+
+
 @query()
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return pii.found(*_people(spark, d))
@@ -107,6 +112,11 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return truncation.cut_report(table(spark, d, "hx_messages"))
 
 
+@query()
+def p5_evidence(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_evidence(table(spark, d, "hx_messages"))
+
+
 @query()
 def p8_pack(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), budget(spark, d, "pack-large")[0])
@@ -117,6 +127,11 @@ def p8_pack_small(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), budget(spark, d, "pack-small")[0])
 
 
+@query()
+def p8_pack_dot(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(table(spark, d, "documents"), budget(spark, d, "pack-large")[0], mode="dot")
+
+
 @query()
 def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     size = budget(spark, d, "pack-large")[0]
