@@ -68,10 +68,10 @@ def values(hx: DataFrame) -> DataFrame:
 
 def lines(vals: DataFrame) -> DataFrame:
     """Each value with ``lines``: an array of word arrays, two starting signs before each."""
-    text = F.when(F.col("field_name") == "html", text_of_markup(F.col("raw"))).otherwise(F.regexp_replace("raw", MARKER, ""))
-    cut = F.filter(F.split(text, r"[\r\n]+"), lambda x: F.length(F.trim(x)) > 0)
-    vals = vals.withColumn("items", F.transform(cut, lambda x: F.split(F.regexp_replace(x, r"\d+", "0"), SEPARATOR)))
-    return vals.withColumn("lines", F.transform(cut, lambda x: F.concat(F.array(F.lit("^"), F.lit("^")), words(x)))).withColumn("lines", F.filter("lines", lambda x: F.size(x) > 2))
+    text = F.when(F.col("field_name") == "html", text_of_markup(F.col("raw"))).otherwise(F.col("bare"))
+    vals = vals.withColumn("cut", F.filter(F.split(text, r"[\r\n]+"), lambda x: F.length(F.trim(x)) > 0))
+    vals = vals.withColumn("items", F.transform("cut", lambda x: F.split(F.regexp_replace(x, r"\d+", "0"), SEPARATOR)))
+    return vals.withColumn("lines", F.transform("cut", lambda x: F.concat(F.array(F.lit("^"), F.lit("^")), words(x)))).withColumn("lines", F.filter("lines", lambda x: F.size(x) > 2))
 
 
 def item_counts(with_lines: DataFrame) -> DataFrame:
@@ -103,16 +103,16 @@ def limits(vals: DataFrame) -> DataFrame:
     return best.where((F.col("t.k") >= LIMIT_LEAST) & (F.col("t.k") > LIMIT_TIMES * F.greatest(rest, F.lit(0.2)))).select("source", "field_name", "unit", F.col("t.n").alias("most"))
 
 
-def unfinished_markup(html: Column) -> Column:
-    """Whether markup ends inside a tag or comment, or lacks the end of what holds the whole."""
-    bare = F.regexp_replace(F.regexp_replace(html, r"(?s)<!--.*?-->", ""), r"\s+$", "")
+def unfinished_markup(bare: Column) -> Column:
+    """Whether markup, without its whole comments and end space, ends inside a tag or comment, or lacks the end of what holds the whole."""
     count = lambda pattern: F.size(F.regexp_extract_all(bare, F.lit(pattern), F.lit(0)))
-    in_tag = F.regexp_like(bare, F.lit(r"(?s)<[^>]*$"))
-    ends = F.regexp_like(bare, F.lit(r"(?i)</(html|body)\s*>$"))
+    # From the last opening sign on: no scan of the whole for each of them.
+    in_tag = ~F.contains(F.substring_index(bare, "<", -1), F.lit(">")) & F.contains(bare, F.lit("<"))
+    ends = F.regexp_like(F.substring(bare, -20, 20), F.lit(r"(?i)</(html|body)\s*>$"))
     page = F.regexp_like(bare, F.lit(r"(?i)<(html|body)\b"))
     div = F.regexp_like(bare, F.lit(r"(?i)^\s*<div\b"))
-    more = count(r"(?i)<div\b") > count(r"(?i)</div\s*>")
-    return in_tag | (page & ~ends) | (~page & div & more) | F.regexp_like(bare, F.lit(r"(?s)<!--(?!.*-->)"))
+    more = div & (count(r"(?i)<div\b") > count(r"(?i)</div\s*>"))
+    return in_tag | (page & ~ends) | (~page & more) | F.contains(bare, F.lit("<!--"))
 
 
 def judged(hx: DataFrame) -> DataFrame:
@@ -127,8 +127,9 @@ def judged(hx: DataFrame) -> DataFrame:
     at = lambda back: F.when(n > 2, F.element_at(last, n - back))
     markup = F.col("field_name") == "html"
     # Read once: what follows works on the words and on what is known of each value.
+    bare = F.when(markup, F.rtrim(F.regexp_replace(F.regexp_replace("raw", r"(?s)<!--.*?-->", ""), r"\s+$", ""))).otherwise(F.regexp_replace("raw", MARKER, ""))
     base = materialise(
-        lines(values(hx)).select(
+        lines(values(hx).withColumn("bare", bare)).select(
             "rec_id",
             "source",
             "field_name",
@@ -137,9 +138,9 @@ def judged(hx: DataFrame) -> DataFrame:
             F.when((F.size(row) > 2) & (F.size(F.split(F.trim(F.element_at(row, -2)), r"\s+")) <= ITEM_WORDS), F.trim(F.element_at(row, -1))).alias("item"),
             F.length("raw").alias("chars"),
             F.octet_length("raw").alias("bytes"),
-            F.when(markup, F.regexp_like(F.concat_ws(" ", last), F.lit(_STOP))).otherwise(F.regexp_like(F.regexp_replace("raw", MARKER, ""), F.lit(_STOP))).alias("stops"),
+            F.regexp_like(F.when(markup, F.element_at(last, -1)).otherwise(F.col("bare")), F.lit(_STOP)).alias("stops"),
             (~markup & F.regexp_like("raw", F.lit(MARKER))).alias("marked"),
-            F.when(markup, unfinished_markup(F.col("raw"))).otherwise(F.lit(False)).alias("torn"),
+            F.when(markup, unfinished_markup(F.col("bare"))).otherwise(F.lit(False)).alias("torn"),
             (~markup | F.regexp_like("raw", F.lit(_PLAIN_END))).alias("prose"),
             at(2).alias("a"),
             at(1).alias("b"),
@@ -192,9 +193,11 @@ def judged(hx: DataFrame) -> DataFrame:
     yes = lambda name: F.coalesce(name, F.lit(False))
     full = yes(F.col("chars") == F.col("most_chars")) | yes(F.col("bytes") == F.col("most_bytes"))
     near = yes(F.col("chars").between(F.col("most_chars") - WORD_SLACK, F.col("most_chars"))) | yes(F.col("bytes").between(F.col("most_bytes") - WORD_SLACK, F.col("most_bytes")))
-    open_end = ~F.col("stops") & F.col("prose") & (full | (~yes("listed") & (yes("between") | yes("in_word") | yes("stub") | yes("inner") | (near & ~yes("natural")))))
+    grams_say = ~yes("listed") & (yes("between") | yes("in_word") | yes("stub") | yes("inner"))
+    open_end = ~F.col("stops") & F.col("prose") & (full | grams_say | (~yes("listed") & near & ~yes("natural")))
     marked = F.col("marked") & (~F.col("stops") | near)
-    return out.select("rec_id", "source", "field_name", (F.col("torn") | marked | open_end).alias("cut"))
+    why = F.when(~F.col("stops") & F.col("prose") & grams_say, "trigrams").when(F.col("torn"), "torn markup").when(marked, "mark of the client").otherwise("length limit")
+    return out.select("rec_id", "source", "field_name", (F.col("torn") | marked | open_end).alias("cut"), why.alias("evidence"))
 
 
 def cut_values(hx: DataFrame) -> DataFrame:
@@ -206,3 +209,8 @@ def cut_report(hx: DataFrame) -> DataFrame:
     """source, field_name, n_values, n_cut, cut_share."""
     n = judged(hx).groupBy("source", "field_name").agg(F.count("*").alias("n_values"), F.sum(F.col("cut").cast("long")).alias("n_cut"))
     return n.withColumn("cut_share", F.round(F.col("n_cut") / F.col("n_values"), 6))
+
+
+def cut_evidence(hx: DataFrame) -> DataFrame:
+    """field_name, evidence, n_cut: the first of trigrams, torn markup, mark of the client and length limit that holds."""
+    return judged(hx).where("cut").groupBy("field_name", "evidence").agg(F.count("*").alias("n_cut"))
