@@ -3,8 +3,9 @@
 Every spelling is rewritten in every way the rules allow: titles and additions dropped, parts put in
 order, short given names written out, initials, one letter left out, legal forms and small words
 dropped, words of an organisation abbreviated. Spellings meet in an equi-join on their rewritten
-forms. A form counts by its rarity: it links only what it points to alone, so a form shared by
-several entities (an initial, an ambiguous short name, a role address) decides nothing by itself.
+forms. A form that does not say the whole name counts by its rarity, over the number of entities that offer it, and
+an entity joins the one that clearly scores best; a form shared alike by several entities (an initial, an
+ambiguous short name, a role address) decides nothing by itself.
 """
 
 from __future__ import annotations
@@ -28,6 +29,12 @@ ROLES = frozenset("office info billing noreply no-reply support sales orders adm
 
 #: Kinds of form: it names the entity; so it does but for one letter; it asks for the one entity that offers it.
 STRONG, NEAR, ASK, OFFER = 0, 1, 2, 3
+#: What a form of each class is worth if one entity alone offers it: short names and addresses; then exact initials
+#: and parts, those one letter off, first words of organisations.
+WHOLE = {"q": 1.0, "mi": 1.0}
+PARTLY = {"i": 1.0, "oa": 1.0, "ol": 1.0, "op": 0.5, "in": 0.5, "of": 0.25}
+#: The least score of a link, and how many times the second best it must be.
+LEAST_SCORE, CLEAR = 0.25, 1.5
 
 
 def fold(word: str) -> str:
@@ -253,30 +260,52 @@ def entities(messages: DataFrame, recipients: DataFrame, name_forms: DataFrame)
         return names.join(least, "root").select(F.col("a").alias("name"), "entity")
 
     now = materialise(of_names(strong), "entities")
-    known = f.where("sure").select("name").distinct().join(now, "name").select("entity").distinct().withColumn("known", F.lit(1))
-    # One letter apart: only if at most one of the entities that meet is confirmed by its own address.
-    near = f.where(f"kind = {NEAR}").select("name", "form").join(now, "name").join(known, "entity", "left").groupBy("form", "entity").agg(F.max("known").alias("known"))
-    lone = near.groupBy("form").agg(F.count("*").alias("n"), F.count("known").alias("k"), F.min("entity").alias("to")).where("n > 1 AND k <= 1").select("form", "to")
-    links = near.join(lone, "form").select("entity", "to").distinct()
-    now = materialise(_merged(now, links), "entities")
-    # Asking: the one entity that offers a form; the exact forms first, those one letter apart for the rest.
-    for prefixes in (("q|", "mi|"), ("i|", "oa|", "ol|"), ("op|", "in|"), ("of|",)):
-        mine = f.where(" OR ".join(f"startswith(form, '{p}')" for p in prefixes)).join(now, "name")
-        offer = mine.where(f"kind = {OFFER}").groupBy("form").agg(F.min("entity").alias("to"), F.max("entity").alias("other"))
-        one = offer.where(F.col("to") == F.col("other")).select("form", "to")
-        asked = mine.where(f"kind = {ASK}")
-        # A name that an entity with an address of its own already holds asks no more.
-        open_ = asked.join(known, "entity", "left_anti") if prefixes != ("of|",) else asked
-        hit = open_.join(one, "form").groupBy("entity").agg(F.min("to").alias("to"), F.max("to").alias("other")).where(F.col("to") == F.col("other")).select("entity", "to")
-        # Nobody offers it: those that ask for the same are one.
-        orphan = open_.join(offer.select("form"), "form", "left_anti") if prefixes[0] in ("i|",) else open_.limit(0)
-        peers = orphan.groupBy("form").agg(F.min("entity").alias("to"))
-        hit = hit.unionByName(orphan.join(peers, "form").select("entity", "to")).where(F.col("entity") != F.col("to")).distinct()
-        now = materialise(_merged(now, hit), "entities")
-        known = f.where("sure").select("name").distinct().join(now, "name").select("entity").distinct().withColumn("known", F.lit(1))
+    told = f.where(f"kind <> {STRONG}").select("name", "form", "kind", "sure")
+    # First what says the whole name but for a letter, or that a short name stands for one of several; then initials and parts of names.
+    for near, classes in ((True, WHOLE), (False, PARTLY)):
+        known = f.where("sure").select("name").distinct().join(now, "name").select("entity").distinct().withColumn("known", F.lit(True))
+        held = told.join(now, "name").join(known, "entity", "left").groupBy("form", "entity", "kind").agg(F.coalesce(F.max("known"), F.lit(False)).alias("known"))
+        held = materialise(held, "held")
+        links = _asked(held, classes)
+        links = links.unionByName(_near(held)) if near else links.unionByName(_peers(held))
+        now = materialise(_merged(now, links), "entities")
     return now
 
 
+def _near(held: DataFrame) -> DataFrame:
+    """(entity, to): entities that meet in a form one letter off, if at most one of them is confirmed by its own address."""
+    form = held.where(f"kind = {NEAR}").groupBy("form").agg(F.count("*").alias("n"), F.sum(F.col("known").cast("int")).alias("k"), F.min("entity").alias("to")).where("n > 1 AND k <= 1")
+    return held.where(f"kind = {NEAR}").join(form.select("form", "to"), "form").where("entity <> to").select("entity", "to").distinct()
+
+
+def _asked(held: DataFrame, classes: dict[str, float]) -> DataFrame:
+    """(entity, to): the one entity that scores best for each that asks.
+
+    A form is worth the weight of its class over the number of entities that offer it: its rarity. Of the forms of a
+    class the rarest counts, classes add up. The best must reach LEAST_SCORE and be CLEAR times the second, so forms
+    that several entities offer alike decide nothing. An entity confirmed by its own address asks by first words only.
+    """
+    prefix = F.substring_index("form", "|", 1)
+    mine = held.withColumn("class", prefix).where(F.col("class").isin(*classes))
+    worth = F.element_at(F.create_map(*[F.lit(x) for kv in classes.items() for x in kv]), F.col("class"))
+    offers = mine.where(f"kind = {OFFER}").select("form", F.col("entity").alias("to"))
+    # What more entities offer than this cannot reach the least score, in whatever sum: it makes no pairs.
+    rare = offers.groupBy("form").agg(F.count("*").alias("n")).where(F.col("n") <= int(sum(classes.values()) / LEAST_SCORE))
+    asks = mine.where((F.col("kind") == ASK) & (~F.col("known") | (F.col("class") == "of"))).select("form", "class", "entity")
+    each = asks.join(rare, "form").join(offers, "form").where("entity <> to").groupBy("entity", "to", "class").agg(F.max(worth / F.col("n")).alias("s"))
+    scored = each.groupBy("entity", "to").agg(F.sum("s").alias("score"))
+    best = scored.groupBy("entity").agg(F.max(F.struct("score", "to")).alias("best"), F.array_sort(F.collect_list("score")).alias("all"))
+    second = F.coalesce(F.try_element_at("all", F.lit(-2)), F.lit(0.0))
+    return best.where((F.col("best.score") >= LEAST_SCORE) & (F.col("best.score") >= CLEAR * second)).select("entity", F.col("best.to").alias("to"))
+
+
+def _peers(held: DataFrame) -> DataFrame:
+    """(entity, to): those that ask by the same initial and surname, which nobody offers, are one."""
+    mine = held.where(F.startswith("form", F.lit("i|")))
+    orphan = mine.where(f"kind = {ASK} AND NOT known").join(mine.where(f"kind = {OFFER}").select("form"), "form", "left_anti")
+    return orphan.join(orphan.groupBy("form").agg(F.min("entity").alias("to")), "form").where("entity <> to").select("entity", "to").distinct()
+
+
 def _merged(now: DataFrame, links: DataFrame) -> DataFrame:
     """(name, entity) after joining entities along (entity, to)."""
     edges = links.select(F.col("entity").alias("a"), F.col("to").alias("b")).where("a <> b")
