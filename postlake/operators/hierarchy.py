@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Steps of a walk to the root before it counts as a cycle.
+from postlake.session import materialise
+
+#: Fixed value: steps of a walk to the root before it stops, as on a cycle. A power of two.
 MOST_STEPS = 64
 #: Names of special folders by their code.
 SPECIAL = {1: "Inbox", 2: "Outbox", 3: "Address Book", 4: "Calendar", 5: "Notes", 6: "Tasks", 8: "Sent Items", 9: "Deleted Items", 10: "Drafts", 12: "Junk Email", 99: "On My Computer", 103: "Temporary Items"}
@@ -19,23 +21,22 @@ def special_name(code: Column, stored: Column) -> Column:
 
 
 def tree(folders: DataFrame) -> DataFrame:
-    """nid, parent_nid, name, level, path from the parent pointers.
+    """nid, parent_nid, name, level, path from the parent pointers, a row for each folder.
 
-    Roots are folders without a parent that is there. A missing name is written folder-<nid>. The root's
-    own name is no part of a path. Folders on a cycle get no row.
+    Roots are folders without a parent that is there; their name is no part of a path. A missing name is written
+    folder-<nid>. Every pointer jumps to its target's, so that a walk of n steps takes log2(n) rounds; after
+    MOST_STEPS it stops: folders deeper than that, on a cycle or below one keep the path as far as it was walked.
     """
-    spark = folders.sparkSession
-    folders.select("nid", "parent_nid", "name").createOrReplaceTempView("_tree_input")
-    return spark.sql(
-        f"""
-        WITH RECURSIVE walk(nid, parent_nid, name, level, path) AS (
-          SELECT nid, parent_nid, name, 0, CAST('' AS STRING) FROM _tree_input r
-          WHERE parent_nid IS NULL OR NOT EXISTS (SELECT 1 FROM _tree_input p WHERE p.nid = r.parent_nid)
-          UNION ALL
-          SELECT c.nid, c.parent_nid, c.name, w.level + 1, w.path || '/' || coalesce(c.name, 'folder-' || c.nid)
-          FROM walk w JOIN _tree_input c ON c.parent_nid = w.nid WHERE w.level < {MOST_STEPS})
-        SELECT * FROM walk"""
-    )
+    own = folders.select("nid", "parent_nid", "name").join(folders.select(F.col("nid").alias("p")).distinct(), F.col("parent_nid") == F.col("p"), "left")
+    step = F.when(F.col("p").isNull(), "").otherwise(F.concat(F.lit("/"), F.coalesce("name", F.concat(F.lit("folder-"), F.col("nid").cast("string")))))
+    now = materialise(own.select("nid", "parent_nid", "name", F.col("p").alias("ptr"), F.col("p").isNotNull().cast("int").alias("level"), step.alias("path")), "tree")
+    for _ in range((MOST_STEPS - 1).bit_length()):
+        if now.where("ptr IS NOT NULL").isEmpty():
+            break
+        to = now.select(F.col("nid").alias("t"), F.col("ptr").alias("t_ptr"), F.col("level").alias("t_level"), F.col("path").alias("t_path"))
+        jumped = now.join(to, F.col("ptr") == F.col("t"), "left")
+        now = materialise(jumped.select("nid", "parent_nid", "name", F.col("t_ptr").alias("ptr"), (F.col("level") + F.coalesce("t_level", F.lit(0))).alias("level"), F.concat(F.coalesce("t_path", F.lit("")), "path").alias("path")), "tree")
+    return now.drop("ptr")
 
 
 def counts(folders: DataFrame, messages: DataFrame) -> DataFrame:

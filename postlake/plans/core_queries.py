@@ -232,7 +232,7 @@ def reply_prefix_strip(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "messages").select("nid", scalars.strip_reply_prefix(F.col("subject")).alias("bare"))
 
 
-@query(r"SELECT message_nid, ordinal, email, coalesce(length(email) <= 254 AND regexp_full_match(email, '[A-Za-z0-9.!#$%&''*+/=?^_`{|}~-]+@[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z]{2,12}'), false) AS ok FROM recipients")
+@query(r"SELECT message_nid, ordinal, email, coalesce(length(email) <= 254 AND regexp_full_match(email, '[A-Za-z0-9._%+-]+@[A-Za-z0-9@_%+-][A-Za-z0-9@._%+-]*\.[A-Za-z]{2,12}'), false) AS ok FROM recipients")
 def email_shape(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "recipients").select("message_nid", "ordinal", "email", scalars.is_email(F.col("email")).alias("ok"))
 
@@ -269,7 +269,7 @@ def base64_payload(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "hx_messages").select("rec_id", scalars.text_or_base64(F.concat(F.lit("\x00"), F.col("subject")).cast("binary")).alias("p")).select("rec_id", F.col("p.base64").alias("base64"))
 
 
-@query()
+@query("SELECT message_nid, nid, url_decode(filename) AS filename FROM attachments")
 def attachment_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "attachments").select("message_nid", "nid", scalars.percent_decoded(F.col("filename")).alias("filename"))
 

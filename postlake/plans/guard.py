@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -10,8 +12,11 @@ from postlake.errors import UnsupportedError
 
 #: The words a query may begin with.
 FIRST_WORDS = frozenset("select with describe summarize show explain pragma table".split())
-#: Functions that leave Spark: they call the JVM, read files or report on the host.
-FORBIDDEN_FUNCTIONS = frozenset("java_method reflect try_reflect read_files input_file_name input_file_block_start input_file_block_length python_worker_logs get_python_udf".split())
+#: Functions by the group Spark lists them under. Its group of all sorts holds what calls the JVM, reads files and reports on
+#: the host: of that only names that begin as here.
+FUNCTION_GROUPS = frozenset("math agg generator datetime array string map predicate bitwise variant window json conversion lambda conditional st csv url hash struct collection".split())
+OTHER_FUNCTIONS = ("typeof", "uuid", "bitmap_", "hll_", "kll_", "theta_", "approx_top_k")
+TABLE_FUNCTIONS = frozenset("range explode explode_outer posexplode posexplode_outer inline inline_outer stack json_tuple".split())
 #: Logical nodes that may occur in a parsed query; whatever is not here is refused.
 ALLOWED_NODES = frozenset(
     (
@@ -45,61 +50,72 @@ def check_read_only(sql: str) -> str:
 _SUBQUERIES = frozenset("ScalarSubquery Exists ListQuery LateralSubquery FunctionTableSubqueryArgumentExpression".split())
 
 
-def _walk(node, seen: list) -> list:
-    seen.append(node)
-    for part in ("children", "innerChildren"):
-        it = getattr(node, part)().iterator()
-        while it.hasNext():
-            child = it.next()
-            if hasattr(child, "nodeName") and hasattr(child, "innerChildren"):
-                _walk(child, seen)
-    return seen
+def _each(seq) -> Iterator:
+    it = seq.iterator()
+    while it.hasNext():
+        yield it.next()
+
+
+@functools.lru_cache(maxsize=1)
+def _functions() -> frozenset[str]:
+    """Names of Spark's own functions that a query may call."""
+    registry = SparkSession.getActiveSession()._jvm.org.apache.spark.sql.catalyst.analysis.FunctionRegistry.builtin()
+    out = set()
+    for f in _each(registry.listFunction()):
+        name, info = f.funcName().lower(), registry.lookupFunction(f)
+        group = info.get().getGroup().removesuffix("_funcs") if info.isDefined() else ""
+        if group in FUNCTION_GROUPS or (group == "misc" and name.startswith(OTHER_FUNCTIONS)):
+            out.add(name)
+    return frozenset(out)
 
 
 def check_plan(spark: SparkSession, sql: str, relations: frozenset[str]) -> None:
     """Parse with the session's parser; refuse foreign plan nodes, relations and functions.
 
     A keyword check alone lets through scripts (TRANSFORM), WITH ... INSERT, java_method and paths as
-    tables; this looks at what was parsed.
+    tables; this looks at what was parsed. A name of a WITH clause counts where the clause reaches: its own
+    query, the clauses after it and what those hold.
     """
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
-    ctes = {m.group(1).lower() for m in re.finditer(r"(?i)(?:\bwith\s+(?:recursive\s+)?|,\s*)`?(\w+)`?\s*(?:\([^()]*\)\s*)?as\s*\(", sql)}
-    pending = [plan]
-    while pending:
-        for node in _walk(pending.pop(), []):
-            name = node.nodeName().rstrip("$").removesuffix(" All")
-            if name in ("UnresolvedRelation", "UnresolvedTableOrView"):
-                parts = node.multipartIdentifier().mkString(".")
-                if parts.lower() not in relations and parts.lower() not in ctes:
-                    raise UnsupportedError(f"no such relation: {parts}")
-            elif name == "UnresolvedTableValuedFunction":
-                called = node.name().mkString(".").lower()
-                if called not in relations and called not in ("range", "explode", "explode_outer", "posexplode", "posexplode_outer", "inline", "inline_outer", "stack", "json_tuple"):
-                    raise UnsupportedError(f"no such table function: {called}")
-            elif name not in ALLOWED_NODES:
-                raise UnsupportedError(f"{name} is not allowed in a query")
-            if name == "ExplainCommand":
-                pending.append(node.logicalPlan())
-            if name == "DescribeQueryCommand":
-                pending.append(node.plan())
-            _expressions(node, pending)
-
-
-def _expressions(node, pending: list) -> None:
-    it = node.expressions().iterator()
-    todo = []
-    while it.hasNext():
-        todo.append(it.next())
+    _check(spark._jsparkSession.sessionState().sqlParser().parsePlan(sql), relations, frozenset(), _functions())
+
+
+def _check(node, relations: frozenset[str], named: frozenset[str], functions: frozenset[str]) -> None:
+    name = node.nodeName().rstrip("$").removesuffix(" All")
+    again = lambda x, scope=named: _check(x, relations, scope, functions)
+    if name == "UnresolvedWith":
+        for cte in _each(node.cteRelations()):
+            own = frozenset((cte._1().lower(),))
+            again(cte._2(), named | own if node.allowRecursion() else named)
+            named = named | own
+        again(node.child(), named)
+        return
+    if name in ("UnresolvedRelation", "UnresolvedTableOrView"):
+        parts = node.multipartIdentifier().mkString(".")
+        if parts.lower() not in relations | named:
+            raise UnsupportedError(f"no such relation: {parts}")
+    elif name == "UnresolvedTableValuedFunction":
+        called = node.name().mkString(".").lower()
+        if called not in relations | TABLE_FUNCTIONS:
+            raise UnsupportedError(f"no such table function: {called}")
+    elif name not in ALLOWED_NODES:
+        raise UnsupportedError(f"{name} is not allowed in a query")
+    if name == "ExplainCommand":
+        again(node.logicalPlan())
+    if name == "DescribeQueryCommand":
+        again(node.plan())
+    for part in (node.children(), node.innerChildren()):
+        for child in _each(part):
+            if hasattr(child, "nodeName") and hasattr(child, "innerChildren"):
+                again(child)
+    todo = list(_each(node.expressions()))
     while todo:
         e = todo.pop()
-        name = e.getClass().getSimpleName()
-        if name == "UnresolvedFunction":
-            called = e.nameParts().mkString(".").lower()
-            if called.rpartition(".")[2] in FORBIDDEN_FUNCTIONS:
+        kind = e.getClass().getSimpleName()
+        if kind in ("UnresolvedFunction", "UnresolvedGenerator"):
+            called = e.nameParts().mkString(".").lower() if kind == "UnresolvedFunction" else e.name().funcName().lower()
+            if called not in functions:
                 raise UnsupportedError(f"{called} is not allowed in a query")
         # Subqueries hold plans of their own.
-        if name in _SUBQUERIES:
-            pending.append(e.plan())
-        kids = e.children().iterator()
-        while kids.hasNext():
-            todo.append(kids.next())
+        if kind in _SUBQUERIES:
+            again(e.plan())
+        todo.extend(_each(e.children()))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postlake.errors import NotFoundError
 from postlake.plans.mailbox import Mailbox
-from postlake.sources.datasource import StoreSource
+from postlake.sources.datasource import load
 
 EXTENSIONS = (".ost", ".pst")
 
@@ -70,10 +70,9 @@ def open_store(spark: SparkSession, path: str | None = None) -> Mailbox:
     p = Path(path)
     if (p / "messages.parquet").exists():
         return Mailbox.from_parquet(spark, path)
-    spark.dataSource.register(StoreSource)
 
     def relation(name: str, of: str) -> DataFrame:
-        return spark.read.format("postlake").option("path", of).option("relation", name).load()
+        return load(spark, of, name)
 
     if is_store(path):
         from postlake.sources.pff import Store
@@ -81,7 +80,7 @@ def open_store(spark: SparkSession, path: str | None = None) -> Mailbox:
         if not p.is_file():
             raise NotFoundError(path)
         store = Store(path)
-        box = Mailbox(spark, *(relation(n, path) for n in ("folders", "messages", "attachments", "bodies", "recipients")), store.file.kind, path, store.display_name(), store.payload)
+        box = Mailbox(spark, *(relation(n, path) for n in ("folders", "messages", "attachments", "bodies", "recipients")), store.file.kind, path, store.display_name(), store.payload, store.detail)
     else:
         data = mac_data_dir(p)
         if data is None:
@@ -90,10 +89,12 @@ def open_store(spark: SparkSession, path: str | None = None) -> Mailbox:
 
         profile, of = Profile(data), str(data)
         folders, messages, bodies = (relation(n, of) for n in ("folders", "messages", "bodies"))
+        # By key, for what is not of the cache.
+        fresh = {n: lambda n=n: load(spark, of, n, prune=True) for n in ("messages", "bodies", "attachments", "recipients")}
         cache = data.parent / "HxStore.hxd"
         if cache.is_file():
             folders, messages, bodies = with_cache(spark, str(cache), folders, messages, bodies)
-        box = Mailbox(spark, folders, messages, relation("attachments", of), bodies, relation("recipients", of), "mac", of, profile.display_name(), profile.payload, strict_attachments=False)
+        box = Mailbox(spark, folders, messages, relation("attachments", of), bodies, relation("recipients", of), "mac", of, profile.display_name(), profile.payload, strict_attachments=False, fresh=fresh)
     box.register()
     return box
 
@@ -106,7 +107,7 @@ def with_cache(spark: SparkSession, cache: str, folders: DataFrame, messages: Da
     from postlake.functions import scalars
     from postlake.operators import recovery
 
-    raw = spark.read.format("postlake").option("path", cache).option("relation", "records").load()
+    raw = load(spark, cache, "records")
     raw = raw.withColumn("rec_id", F.struct("block_offset", "anchor"))
     found = recovery.with_ids(recovery.merge_revisions(raw))
     rows = found.select(

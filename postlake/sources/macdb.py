@@ -5,12 +5,14 @@ from __future__ import annotations
 import base64
 import re
 import sqlite3
+from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path, PurePosixPath
 
 from postlake.errors import FormatError, IoError, NotFoundError
 from postlake.functions.scalars import fnv1a_id, percent_decode
 from postlake.operators.hierarchy import MOST_STEPS, SPECIAL
+from postlake.schema import BODIES
 
 #: What files begin with, and the length of a body file's header.
 BODY_MAGIC, BODY_HEADER, ATTACHMENT_MAGIC = bytes((0x0D, 0, 0, 1)), 20, bytes((0xD0, 0x0D, 0, 0))
@@ -18,6 +20,8 @@ BODY_MAGIC, BODY_HEADER, ATTACHMENT_MAGIC = bytes((0x0D, 0, 0, 1)), 20, bytes((0
 _BODY_MARKS = ((b"<html", "html", False), (b"<HTML", "html", False), ("<html".encode("utf-16-le"), "html", True), ("<HTML".encode("utf-16-le"), "html", True), (rb"{\rtf", "rtf", False), (b"BEGIN:VCALENDAR", "calendar", False))
 _TAIL_MARKS = ('{"MessageCardSerialized":', '<?xml version="1.0" encoding="utf-16"?>')
 _SOURCE_MARKS = (b"Received:", b"From:", b"Return-Path:", b"MIME-Version:", b"Date:", b"Subject:", b"Message-ID:")
+#: Fixed value: what the stored path of an attachment holds. Keys bound at once.
+ATTACHED, BIND = "Message Attachments", 500
 _CONTROLS = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f]{3,}")
 
 
@@ -157,20 +161,44 @@ class Profile:
         flag = lambda v, zero: None if v is None else (v == 0) is zero
         return (r[0], r[1], path, r[2], r[3] or None, r[4] or None, micros(r[5]), micros(r[6]), micros(r[7]), r[8], flag(r[9], True), flag(r[10], False), None)
 
-    def messages(self, folder: int, path: str) -> list[tuple]:
-        """Rows of MESSAGES, times in microseconds; this store knows no message class."""
-        return [self._row(r, path) for r in self.rows(f"SELECT {self._COLUMNS} FROM Mail WHERE Record_FolderID = ?", folder)]
+    def messages(self, folder: int, path: str, part: int = 0, of: int = 1) -> list[tuple]:
+        """Rows of MESSAGES of a folder, or of every ``of``-th id, times in microseconds; this store knows no message class."""
+        return [self._row(r, path) for r in self.rows(f"SELECT {self._COLUMNS} FROM Mail WHERE Record_FolderID = ? AND abs(Record_RecordID % ?) = ?", folder, of, part)]
+
+    def row(self, nid: int) -> tuple | None:
+        """The row of one message, by its key."""
+        got = self.rows(f"SELECT {self._COLUMNS} FROM Mail WHERE Record_RecordID = ?", nid)
+        path = next((f[3] for f in self.folders() if got and f[0] == got[0][1]), None)
+        return self._row(got[0], path) if path is not None else None
+
+    def details(self, relation: str, nids: list[int]) -> Iterator[tuple]:
+        """Rows of bodies or attachments of messages: a query for every few hundred of them."""
+        for at in range(0, len(nids), BIND):
+            some = nids[at : at + BIND]
+            marks = ",".join("?" * len(some))
+            if relation == "bodies":
+                for nid, path, topic in self.rows(f"SELECT Record_RecordID, PathToDataFile, Message_ThreadTopic FROM Mail WHERE Record_RecordID IN ({marks})", *some):
+                    try:
+                        yield tuple(self._body(nid, path, topic).get(k) for k in BODIES.fieldNames())
+                    except (FormatError, IoError):
+                        continue
+            elif relation == "attachments":
+                for nid, block, path in self.rows(f"SELECT o.Record_RecordID, b.BlockID, b.PathToDataFile FROM Blocks b JOIN Mail_OwnedBlocks o ON o.BlockID = b.BlockID WHERE o.Record_RecordID IN ({marks})", *some):
+                    if path is not None and ATTACHED in path:
+                        yield self._attachment(nid, fnv1a_id(bytes(block)), path)
 
     def message(self, nid: int) -> dict:
         got = self.rows("SELECT PathToDataFile, Message_ThreadTopic FROM Mail WHERE Record_RecordID = ?", nid)
         if not got:
             raise NotFoundError(f"message {nid}")
-        path, topic = got[0]
+        return self._body(nid, *got[0])
+
+    def _body(self, nid: int, path: str | None, topic: str | None) -> dict:
         body = parse_body(self.read_file(path)) if path else None
         kind, text = body or (None, None)
         return {"nid": nid, "conversation_topic": topic or None, "body_plain": text if kind == "calendar" else None, "body_html": text if kind == "html" else None, "body_rtf": text if kind == "rtf" else None}
 
-    def blocks(self, nid: int, part: str = "Message Attachments") -> list[tuple[int, str]]:
+    def blocks(self, nid: int, part: str = ATTACHED) -> list[tuple[int, str]]:
         """(id, path) of the files a message owns whose stored path contains ``part``."""
         got = self.rows("SELECT b.BlockID, b.PathToDataFile FROM Blocks b JOIN Mail_OwnedBlocks o ON o.BlockID = b.BlockID WHERE o.Record_RecordID = ?", nid)
         # The stored form decides, before its percent signs are decoded.
@@ -178,16 +206,16 @@ class Profile:
 
     def attachments(self, nid: int) -> list[tuple]:
         """Rows of ATTACHMENTS; unreadable files keep their row, without details."""
-        out = []
-        for i, path in self.blocks(nid):
-            name = kind = size = None
-            try:
-                data = self.read_file(path)
-                (name, kind), size = attachment_metadata(data), len(data)
-            except (FormatError, IoError):
-                pass
-            out.append((nid, i, name, kind, None, size, None))
-        return out
+        return [self._attachment(nid, i, path) for i, path in self.blocks(nid)]
+
+    def _attachment(self, nid: int, i: int, path: str) -> tuple:
+        name = kind = size = None
+        try:
+            data = self.read_file(path)
+            (name, kind), size = attachment_metadata(data), len(data)
+        except (FormatError, IoError):
+            pass
+        return nid, i, name, kind, None, size, None
 
     def payload(self, nid: int, attachment: int) -> bytes:
         for i, path in self.blocks(nid):

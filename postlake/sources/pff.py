@@ -6,6 +6,7 @@ descend the B-trees page by page, so opening a store in every task costs nothing
 
 from __future__ import annotations
 
+import datetime as dt
 import mmap
 import struct
 import zlib
@@ -14,6 +15,7 @@ from dataclasses import dataclass, field
 
 from postlake.errors import FormatError, IoError, NotFoundError, UnsupportedError
 from postlake.functions.scalars import FILETIME_EPOCH, one_off_address
+from postlake.schema import ATTACHMENTS, BODIES
 
 #: Node ids and types.
 ROOT_FOLDER, MESSAGE_STORE, ATTACHMENT_TABLE, RECIPIENT_TABLE = 0x122, 0x21, 0x671, 0x692
@@ -411,9 +413,11 @@ class Store:
                     queue.append((nid, path))
         return out
 
-    def messages(self, folder: int, path: str) -> Iterator[tuple]:
-        """Rows of a folder's contents table; sender from the columns, else from the entry ids."""
-        for nid, r in Table(self.file, *self.file.node(folder >> 5 << 5 | CONTENTS)):
+    def messages(self, folder: int, path: str, part: int = 0, of: int = 1) -> Iterator[tuple]:
+        """Rows of a folder's contents table, or every ``of``-th of them; sender from the columns, else from the entry ids."""
+        t = Table(self.file, *self.file.node(folder >> 5 << 5 | CONTENTS))
+        t.rows = t.rows[part::of]
+        for nid, r in t:
             flags = r.get("flags")
             own = one_off_address(r.get("sender_entry")) or one_off_address(r.get("represented_entry")) or (None, None)
             has = r.get("has_attachments")
@@ -423,12 +427,50 @@ class Store:
             )
 
     def _node(self, nid: int) -> tuple[int, int]:
-        if not 0 < nid < 1 << 32:
-            raise NotFoundError(f"message {nid}")
-        return self.file.node(nid)
+        try:
+            if 0 < nid < 1 << 32:
+                return self.file.node(nid)
+        except NotFoundError:
+            pass
+        raise NotFoundError(f"message {nid}")
+
+    def row(self, nid: int) -> tuple | None:
+        """The row of one message: the folder its node names, else each folder in turn."""
+        data = self.file._find(self.file.node_root, nid, "<QQQI") if 0 < nid < 1 << 32 else None
+        if data is None:
+            return None
+        tree = {f[0]: f[3] for f in self.folders() if not f[7]}
+        for folder in [data[3]] if data[3] in tree else tree:
+            try:
+                for r in self.messages(folder, tree[folder]):
+                    if r[0] == nid:
+                        return r
+            except (FormatError, NotFoundError):
+                continue
+        return None
+
+    def details(self, relation: str, nids: list[int]) -> Iterator[tuple]:
+        """Rows of bodies, recipients or attachments of messages; those that cannot be read have none."""
+        for nid in nids:
+            try:
+                if relation == "attachments":
+                    yield from self.attachments(nid)
+                elif relation == "recipients":
+                    yield from self.message(nid)["recipients"]
+                else:
+                    full = self.message(nid)
+                    yield tuple(full.get(k) for k in BODIES.fieldNames())
+            except (FormatError, NotFoundError):
+                continue
+
+    def detail(self, nid: int) -> dict:
+        """A message with its recipients and attachments as a reply shows them: a descent to its node, no scan."""
+        m = self.message(nid)
+        times = {k: None if m[k] is None else dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=m[k]) for k in ("delivered", "submitted", "modified")}
+        return m | times | {"recipients": [r[2:] for r in m["recipients"]], "attachments": [dict(zip(ATTACHMENTS.fieldNames()[1:], a[1:])) for a in self.attachments(nid)]}
 
     def message(self, nid: int) -> dict:
-        """Everything of a message but its payloads."""
+        """Everything of a message but its payloads. The sender's name is its own, else that of whom it stands for, else the entry id's."""
         p = Properties(self.file, *self._node(nid))
         own = one_off_address(p.get("sender_entry")) or one_off_address(p.get("represented_entry")) or (None, None)
         people = []
@@ -437,8 +479,9 @@ class Store:
                 people.append((nid, i, r.get("recipient_type"), r.get("display_name"), r.get("smtp") or r.get("email")))
         return {
             "nid": nid, "internet_message_id": p.text("message_id"), "conversation_topic": p.text("topic"), "display_to": p.text("display_to"), "display_cc": p.text("display_cc"), "body_plain": p.text("body"),
-            "body_html": p.text("html"), "body_rtf": plain_rtf(p.get("rtf")), "sender_name": p.text("sender_name") or p.text("represented_name") or own[0], "sender_email": p.text("sender_email") or own[1],
-            "subject": plain_subject(p.text("subject")), "recipients": people,
+            "body_html": p.text("html"), "body_rtf": plain_rtf(p.get("rtf")), "sender_name": next((x for x in (p.text("sender_name"), p.text("represented_name")) if x is not None), own[0]), "sender_email": p.text("sender_email") or own[1],
+            "subject": plain_subject(p.text("subject")), "recipients": people, "delivered": to_micros(p.get("delivered")), "submitted": to_micros(p.get("submitted")), "modified": to_micros(p.get("modified")),
+            "size": p.get("size"), "unread": None if p.get("flags") is None else not p.get("flags") & 1, "message_class": p.text("message_class"),
         }
 
     def attachments(self, nid: int) -> list[tuple]:

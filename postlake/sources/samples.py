@@ -1,7 +1,9 @@
-"""Synthetic stores, byte by byte. All names and addresses are invented."""
+"""Small synthetic stores, byte by byte, for tests and the registered queries of the sources. All names and addresses are invented."""
 
+import sqlite3
 import struct
 import zlib
+from pathlib import Path
 
 from postlake.functions.scalars import ONE_OFF
 
@@ -169,8 +171,8 @@ def mailbox(version=23, deflate=False):
         0x8025: properties([(0x3701, 0x102, b"payload bytes"), (0x3707, 0x1F, "long name.txt"), (0x370E, 0x1F, "text/plain"), (0x3705, 3, 1)]),
         0x8045: properties([(0x3701, 0x0D, 7), (0x3705, 3, 5)]),
     }
-    p.nodes[0x200024] = properties([(0x1000, 0x1F, "Body text"), (0x0037, 0x1F, "\x01\x04RE: hello"), (0x0C1A, 0x1F, "Ann Example"), (0x1035, 0x1F, "<1@example.com>"), (0x0070, 0x1F, "hello")]), subs
-    p.nodes[0x200044] = properties([(0x1013, 0x102, b"<p>html</p>")]), {}
+    p.nodes[0x200024] = properties([(0x1000, 0x1F, "Body text"), (0x0037, 0x1F, "\x01\x04RE: hello"), (0x0C1A, 0x1F, "Ann Example"), (0x1035, 0x1F, "<1@example.com>"), (0x0070, 0x1F, "hello"), (0x0E06, 0x40, FT), (0x0E07, 3, 0x11), (0x0E08, 3, 900), (0x001A, 0x1F, "IPM.Note"), (0x0E04, 0x1F, "Bob Example")]), subs
+    p.nodes[0x200044] = properties([(0x1013, 0x102, b"<p>html</p>"), (0x0042, 0x1F, "Ann Assistant"), (0x0041, 0x102, one_off("Ann Other", "SMTP", "other@example.com"))]), {}
     return p.build()
 
 
@@ -202,3 +204,37 @@ def hx_record(sender="ann@example.com", name="Ann Example", subject="Quarterly p
     head = wide(sender, name) if before else b""
     tail = b"" if before else wide(sender, name)
     return head + wide("IPM.Note") + tail + wide("<a1@example.com>") + struct.pack("<Q", ticks) + wide(preview, "RE: " + subject, subject) + (wide(html) if html else b"")
+
+
+def attachment_file(head=b'Content-type: text/plain; name="n.txt"', payload=b"aGVsbG8="):
+    return bytes((0xD0, 0x0D, 0, 0)) + b"x" * 28 + head + b"\r\r" + payload
+
+
+def profile(data: Path):
+    """A Mac profile: three folders and a ring of two, one message with a body, an attachment and a source file."""
+    (data / "Message Attachments").mkdir(parents=True)
+    (data / "Messages/1").mkdir(parents=True)
+    (data / "Messages/1/example.olk15Message").write_bytes(bytes((0x0D, 0, 0, 1)) + b"u" * 16 + b"<html>body</html>")
+    (data / "Message Attachments/one").write_bytes(attachment_file())
+    c = sqlite3.connect(data / "Outlook.sqlite")
+    c.executescript(
+        """CREATE TABLE Folders(Record_RecordID INTEGER PRIMARY KEY, Folder_ParentID INTEGER, Folder_Name TEXT, Folder_SpecialFolderType INTEGER);
+        CREATE TABLE Mail(Record_RecordID INTEGER PRIMARY KEY, Record_FolderID INTEGER, Message_NormalizedSubject TEXT, Message_SenderList TEXT, Message_SenderAddressList TEXT, Message_TimeReceived INTEGER, Message_TimeSent INTEGER, Record_ModDate INTEGER, Message_Size INTEGER, Message_ReadFlag INTEGER, Message_HasAttachment INTEGER, PathToDataFile TEXT, Message_ThreadTopic TEXT);
+        CREATE TABLE Blocks(BlockID BLOB PRIMARY KEY, PathToDataFile TEXT); CREATE TABLE Mail_OwnedBlocks(Record_RecordID INTEGER, BlockID BLOB);
+        CREATE TABLE AccountsMail(Account_Name TEXT); CREATE TABLE AccountsExchange(Account_Name TEXT);
+        INSERT INTO Folders VALUES (1,-2,'Placeholder_Inbox_Placeholder',1),(2,-2,'Team Project',0),(3,2,'Subfolder',0),(4,5,NULL,0),(5,4,'loop',0);
+        INSERT INTO Mail VALUES (10,2,'Re: example','Sample Sender','sender@example.com',1700000000,1700000000,'1700000000.9',1024,0,1,'Messages/1/example.olk15Message','Example thread');
+        INSERT INTO Blocks VALUES (X'AABBCC','Message Attachments/one'),(X'DDEEFF','Message Sources/two'); INSERT INTO Mail_OwnedBlocks VALUES (10,X'AABBCC'),(10,X'DDEEFF');
+        INSERT INTO AccountsExchange VALUES ('Example Account');"""
+    )
+    c.commit()
+    c.close()
+
+
+def cache_file():
+    """A block cache: a record in two revisions, a later one of another sender, a broken block and one with two senders behind the anchor."""
+    broken = bytearray(hx_block(hx_record("eve@example.com", "Eve Example", "Lost")))
+    broken[-1] ^= 1
+    two = wide("IPM.Note") + wide("a@example.com", "Ann A", "b@example.com", "Bob B", "Normal", "image/png")
+    blocks = [hx_record(html="<html><body>x</body> tail"), hx_record(preview="zz"), hx_record("bob@example.com", "Bob Example", "Other matter", ticks=638_500_000_000_000_000), two]
+    return hx_header() + b"".join(hx_block(b) for b in blocks) + b"noise" + bytes(broken)
