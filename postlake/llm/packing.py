@@ -85,12 +85,12 @@ def items_of(documents: DataFrame, capacity: int, path: str = VOCABULARY) -> Dat
 def pack(documents: DataFrame, capacity: int, max_docs: int | None = None, max_cost: int | None = None, per_shard: int = 25_000, mode: str = "norm", path: str = VOCABULARY) -> DataFrame:
     """Assign every text to a container: doc_id, part, start_token, n_tokens, container.
 
-    A text is split only if it alone exceeds ``capacity``. ``max_docs`` defaults to a document for each 64 tokens
+    A text is split only if it alone exceeds ``capacity``. ``max_docs`` defaults to a document for each 32 tokens
     of capacity, ``max_cost`` to COST_SHARE of the capacity squared: both bind. Items are spread by a hash over shards of
     about ``per_shard`` items, packed independently; a shard leaves a handful of containers part-filled whatever the
     size of the input. NULL and empty texts are items of no tokens. Repeated doc_ids are items of their own.
     """
-    max_docs = max_docs or max(1, capacity // 64)
+    max_docs = max_docs or max(1, capacity // 32)
     max_cost = max_cost or int(COST_SHARE * capacity * capacity)
     items = materialise(items_of(documents, capacity, path), "items")
     shards = max(1, -(-items.count() // per_shard))

@@ -175,8 +175,10 @@ def read(mails: DataFrame, marks: bool = True) -> DataFrame:
 
 
 def mails_of(messages: DataFrame, bodies: DataFrame) -> DataFrame:
-    """(nid, talk, who, us, body_plain) of the bodies that are not blank; talk and who are hashes of topic and sender."""
-    key, who = topic_key(F.col("conversation_topic")), F.lower(F.trim("sender_email"))
+    """(nid, talk, who, us, body_plain) of the bodies that are not blank; talk and who are hashes of topic and sender.
+
+    Messages without a column sender_email are of unknown senders."""
+    key, who = topic_key(F.col("conversation_topic")), F.lower(F.trim("sender_email")) if "sender_email" in messages.columns else F.lit(None).cast("string")
     told = bodies.where(has_text(F.col("body_plain"))).select("nid", F.when(key.isNotNull(), F.xxhash64(key)).alias("talk"), "body_plain")
     sent = messages.select("nid", F.when(who != "", F.xxhash64(who)).alias("who"), F.col("delivered_us").alias("us"))
     return told.join(sent, "nid", "left").select("nid", "talk", "who", "us", "body_plain")

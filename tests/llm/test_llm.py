@@ -80,12 +80,17 @@ def test_pack_holds_every_text_once(docs, spark):
     for r in got:
         load[r["container"]] += r["n_tokens"]
         count[r["container"]] += 1
-    assert max(load.values()) <= 128 and max(count.values()) <= 16 and sum(load.values()) == sum(n for _, n in want.elements())
+    assert max(load.values()) <= 128 and max(count.values()) <= 4 and sum(load.values()) == sum(n for _, n in want.elements())
     report = packing.fill_report(packed, 128).first()
-    assert report["items"] == len(got) and 0.8 < report["fill"] <= 1
+    assert report["items"] == len(got) and 0.6 < report["fill"] <= 1
     assert packing.pack(docs.limit(0), 128).count() == 0
-    with pytest.raises(ValueError, match="max_cost"):
-        packing.pack(docs, 128, max_cost=5)
+    # A tight cost binds: no two items share a container beyond it, one alone may exceed it.
+    tight = packing.pack(docs, 128, max_cost=4000, per_shard=60, mode="dot").collect()
+    held = defaultdict(list)
+    for r in tight:
+        held[r["container"]].append(r["n_tokens"])
+    assert all(len(x) == 1 or sum(n * n for n in x) <= 4000 or max(x) ** 2 > 4000 and sum(x) == max(x) for x in held.values())
+    assert len(tight) == len(got) and len(held) > len(load) and any(x[0] ** 2 > 4000 for x in held.values() if len(x) == 1)
 
 
 def test_mix_against_brute_force(docs, spark):
@@ -159,14 +164,14 @@ def test_split_limits():
 
 
 def test_pointer_jumping(spark):
-    chain = [(str(i), str(i - 1) if i else None, i + 1) for i in range(40)]
-    other = [("o1", "missing", 1), ("o2", "o1", 1), ("c1", "c2", 1), ("c2", "c3", 1), ("c3", "c1", 1), ("c4", "c1", 1), ("self", "self", 1)]
-    got = {r["id"]: r for r in conversations.pointer_jump(spark.createDataFrame(chain + other, "id string, parent string, weight long")).collect()}
+    chain = [(str(i), str(i - 1) if i else None) for i in range(40)]
+    other = [("o1", "missing"), ("o2", "o1"), ("c1", "c2"), ("c2", "c3"), ("c3", "c1"), ("c4", "c1"), ("self", "self")]
+    got = {r["id"]: r for r in conversations.pointer_jump(spark.createDataFrame(chain + other, "id string, parent string")).collect()}
     for i in range(40):
-        assert got[str(i)]["state"] == "rooted" and got[str(i)]["root"] == "0" and got[str(i)]["before"] == i * (i + 1) // 2
+        assert got[str(i)]["state"] == "rooted" and got[str(i)]["root"] == "0" and got[str(i)]["before"] == i
     assert got["o1"]["state"] == got["o2"]["state"] == "orphan"
     assert {got[x]["state"] for x in ("c1", "c2", "c3", "c4", "self")} == {"cycle"}
-    assert conversations.pointer_jump(spark.createDataFrame([], "id string, parent string, weight long")).count() == 0
+    assert conversations.pointer_jump(spark.createDataFrame([], "id string, parent string")).count() == 0
 
 
 def talk(spark, msgs):
@@ -191,6 +196,19 @@ def test_conversations(spark):
     assert conversations.conversations(*talk(spark, [])).count() == 0
 
 
+def test_turns_without_a_parent_break_their_conversation(spark):
+    msgs = [
+        (1, 10, "you@x.example", "Plan", "Plan", "a", None), (2, 20, "me@x.example", "Re: Plan", "Plan", "a", None), (3, None, "you@x.example", "Re: Plan", "Plan", "a", None), (4, 30, "you@x.example", "Re: Plan", "Plan", "a", None),
+        (5, 10, "you@x.example", "Re: Begun", "Begun", "a", None), (6, 20, "me@x.example", "Re: Begun", "Begun", "a", None), (7, 10, "you@x.example", "Gap", "Gap", "a", None), (8, 20, " ", "Re: Gap", "Gap", "a", None), (9, 30, "me@x.example", "Re: Gap", "Gap", "a", None),
+        (10, 10, "you@x.example", "Whole", "Whole", "a", None), (11, 20, "me@x.example", "Re: Whole", "Whole", "a", None), (11, 20, "me@x.example", "Re: Whole", "Whole", "a", None),
+    ]
+    m, b, accounts = talk(spark, msgs)
+    b = b.dropDuplicates(["nid"])
+    jumped = {r["id"]: r["state"] for r in conversations.pointer_jump(conversations.parents(conversations.turns(m, b))).collect()}
+    assert [jumped[n] for n in range(1, 12)] == ["rooted", "rooted", "orphan", "rooted", "orphan", "orphan", "rooted", "orphan", "orphan", "rooted", "rooted"]
+    assert sorted(rows(conversations.conversations(m, b, accounts).select("conv_nid", "turn", "nid"))) == [(10, 1, 10), (10, 2, 11)]
+
+
 def test_a_hot_conversation_is_ranked_over_many_segments(spark):
     rnd = random.Random(6)
     msgs = [(n, rnd.randrange(500), ["me@x.example", "you@x.example"][n % 2], "Hot", "Hot", "a", None) for n in range(2000)]
@@ -220,6 +238,8 @@ def test_truncation(spark):
     assert got == sorted([(i, "preview") for i in cut] + [(3000, "preview"), (3001, "preview"), (3005, "preview"), (5000, "html"), (5001, "html"), (5005, "html")])
     report = {(r["source"], r["field_name"]): (r["n_values"], r["n_cut"]) for r in truncation.cut_report(hx).collect()}
     assert report["phone", "preview"] == (40, len(cut)) and report[None, "preview"] == (1, 1)
+    why = {(r["field_name"], r["evidence"]): r["n_cut"] for r in truncation.cut_evidence(hx).collect()}
+    assert sum(why.values()) == len(got) and why["preview", "trigrams"] > len(cut) / 2
     assert truncation.cut_values(hx.limit(0)).count() == 0
 
 
@@ -276,14 +296,39 @@ def test_rtf_elements():
 def test_content_region_is_the_best_of_all():
     rnd = random.Random(9)
     w = markup.default_weights()
-    score = lambda ts: sum(w.get(markup._weighed(t), w["?"]) if t[0] == "<" else 0 if t.isspace() else w["word"] * len(t.split()) for t in ts)
     for _ in range(60):
         ts = [rnd.choice(["<html>", "<head>", "<img src=x>", "<div>", "<a href=u>", "word", "two words", "</body>", "<li>"]) for _ in range(rnd.randrange(1, 25))]
-        best = max((score(ts[i:j]) for i in range(len(ts)) for j in range(i + 1, len(ts) + 1)), default=0)
-        a, b = markup.content_region(ts, w)
-        while a < b and ts[a][0] == "<" and score(ts[a + 1 : b]) > score(ts[a:b]):
-            a += 1
-        assert abs(score(ts[a:b]) - max(best, 0)) < 1e-9 or (best <= 0 and a == b)
+        worth = [w.get(k, w["?"]) * n for k, n in markup.classes(ts)]
+        best = max((sum(worth[i:j]) for i in range(len(ts)) for j in range(i + 1, len(ts) + 1)), default=0)
+        a, b = markup.best_span(markup.classes(ts), w)
+        assert abs(sum(worth[a:b]) - max(best, 0)) < 1e-9
+        c, d = markup.content_region(ts, w)
+        assert d == b and c <= a and all(t[0] == "<" for t in ts[c:a])
+
+
+NOISY = (
+    "<html><body><nav><ul><li><a href='/'>Home</a></li><li><a href='/n'>News of the week</a></li></ul></nav><div><h1>Notes</h1><p>The reader opens large stores in place now.</p><ul><li>one more thing</li><li>see <a href='d'>the notes</a> on it</li></ul></div>"
+    "<table><tr><td><a href='1'>Share</a></td><td><a href='2'>Print</a></td></tr></table><ul><li><a href='3'>Top</a></li><li><a href='4'>Imprint</a></li></ul></body></html>"
+)
+
+
+def test_what_stands_around_the_content_is_cut(monkeypatch):
+    assert kinds("body_html", NOISY) == Counter(heading=1, list_item=2) and "Share" not in markup.clean_text("body_html", NOISY)
+    # The region decides: over the whole page the bars of links are list items too.
+    monkeypatch.setattr(markup, "best_span", lambda scored, weights: (0, len(scored)))
+    assert kinds("body_html", NOISY) == Counter(heading=1, list_item=6)
+
+
+def test_the_weights_tell_words_from_tags_and_controls():
+    w = markup.fit_weights()
+    assert w["word"] > 0 > max(v for k, v in w.items() if k != "word") and w["chrome"] < w["link"] < 0
+    # RTF goes through the same scan: words outside it are gone.
+    source = r"{\rtf1{\fonttbl{\f0 A;}}\fs22 \pard {\pntext 1.\tab}one\par \pard text\par}"
+    tokens = list(markup._RTF.finditer(source))
+    a, b = markup.best_span(markup.rtf_classes(tokens), w)
+    assert 0 < a < b < len(tokens) and kinds("body_rtf", source) == Counter(list_item=1)
+    negative = dict.fromkeys(w, -1.0)
+    assert markup.rtf_blocks(source, negative) == []
 
 
 def test_elements_table(spark):
@@ -380,6 +425,30 @@ def test_a_short_answer_above_history_is_no_copy(spark):
     assert inherited(spark, *mails) == [(2, 3), (2, 4)]
 
 
+def test_without_any_mark_the_method_finds_history_and_boilerplate(spark):
+    """The rules of mailparts are off: sentences said before and lines that recur under a sender are all there is."""
+    said = [f"The {a} of the {b} office was moved to another building last spring." for a in ("archive", "printer", "index") for b in ("northern", "old")]
+    sign = "Ann Example\nHead of Shelves, Example Ltd\n+44 20 7946 000"
+    data = []
+    for i, s in enumerate(said):
+        data.append((10 * i + 1, 10 * i, f"T{i}", f"Hello Bob,\n\n{s} Who has the list of number {i}?\n\n{sign}{i}", "ann@example.com"))
+        # Quoted, and wrapped otherwise, with an edit.
+        data.append((10 * i + 2, 10 * i + 5, f"Re: T{i}", f"I shall look for it on the next day of week {i}.\n\n> {s[: s.index(' was')]}\n> {s[s.index(' was') + 1 :]} Who has the list of number {i}?", "bob@example.com"))
+    m = spark.createDataFrame([(n, us, who) for n, us, _, _, who in data], "nid long, delivered_us long, sender_email string")
+    b = spark.createDataFrame([(n, t, body) for n, _, t, body, _ in data], "nid long, conversation_topic string, body_plain string")
+    want = [(10 * i + 1, n) for i in range(6) for n in (5, 6, 7)] + [(10 * i + 2, n) for i in range(6) for n in (3, 4)]
+    assert sorted(rows(quoted.inherited_lines(m, b, marks=False))) == sorted(want)
+    told = dict(rows(quoted.evidence(m, b)))
+    assert told["said before"] == 12 and told["boilerplate"] == 18 and told.get("mark only", 0) == 0
+
+
+def test_a_line_of_a_wrapped_sentence_is_no_boilerplate(spark):
+    data = [(i, i, f"T{i}", f"Hello,\n\nThe list of number {chr(97 + i) * 5} was moved to the second floor by\nmistake.", "ann@example.com") for i in range(8)]
+    m = spark.createDataFrame([(n, us, who) for n, us, _, _, who in data], "nid long, delivered_us long, sender_email string")
+    b = spark.createDataFrame([(n, t, body) for n, _, t, body, _ in data], "nid long, conversation_topic string, body_plain string")
+    assert rows(quoted.inherited_lines(m, b)) == []
+
+
 def test_near_matches_against_brute_force(spark):
     rnd = random.Random(12)
     base = [" ".join(rnd.choice("alpha beta gamma delta store index mail window closed open ready number".split()) for _ in range(14)) for _ in range(30)]
@@ -390,9 +459,10 @@ def test_near_matches_against_brute_force(spark):
             w[rnd.randrange(14)] += "s"
         said.append((i % 3, " ".join(w), i))
     fp = quoted.simhash([s for _, s, _ in said])
-    talk = spark.createDataFrame([(t, quoted._long(s), int(f), 0, True, us, -1) for (t, s, us), f in zip(said, fp)], "topic long, th long, fp long, num long, own boolean, us long, begun long")
+    talk = spark.createDataFrame([(t, quoted._long(s), int(f), 0, us) for (t, s, us), f in zip(said, fp)], "talk long, th long, fp long, num long, us long").groupBy("talk", "th", "fp", "num").agg(F.min("us").alias("us"))
     texts = spark.createDataFrame([(quoted._long(s), s) for _, s, _ in said], "th long, text string")
-    got = {(r["topic"], r["th"]): r["since"] for r in quoted.earlier(talk, texts).collect()}
+    got = {(r["talk"], r["th"]): r["near"] for r in quoted.near(talk, texts).collect()}
+    assert got
 
     def edits(a, b):
         row = list(range(len(b) + 1))
@@ -409,7 +479,7 @@ def test_near_matches_against_brute_force(spark):
             first[k] = us, s, int(f)
     for (t, th), (us, s, f) in first.items():
         near = [u for (t2, _), (u, s2, f2) in first.items() if t2 == t and u < us and bin((f ^ f2) & (1 << 64) - 1).count("1") <= 3 and edits(s, s2) <= 0.1 * max(len(s), len(s2))]
-        assert got[t, th] == min([us, *near])
+        assert got.get((t, th)) == min(near, default=None)
 
 
 # 2: personal data
@@ -508,6 +578,17 @@ def test_variants_of_organisations(spark):
     assert groups(spark, seen) == [sorted(x[0] for x in seen[:5]), ["Southby Energy", "Southby Energy GmbH"]]
 
 
+def test_a_link_needs_the_clearly_rarest_forms(spark):
+    of = lambda *offers: [(f, e, names.OFFER, False) for f, e in offers]
+    held = lambda *more: spark.createDataFrame([*of(("i|j|d", "mark"), ("i|j|e", "mark"), ("i|j|e", "joan"), ("in|j|f", "joan"), *[("of|x", f"e{i}") for i in range(30)]), *more], "form string, entity string, kind int, known boolean")
+    ask = lambda form, who, known=False: (form, who, names.ASK, known)
+    links = lambda *more: sorted(rows(names._asked(held(*more), names.PARTLY)))
+    assert links(ask("i|j|d", "q")) == [("q", "mark")]
+    assert links(ask("i|j|e", "q")) == [] and links(ask("i|j|d", "q", True)) == [] and links(ask("of|x", "q", True)) == []
+    # Two offer one form alike; a further form tips the scale.
+    assert links(ask("i|j|e", "q"), ask("in|j|f", "q")) == [("q", "joan")]
+
+
 def test_pairs_and_empty(spark):
     g = spark.createDataFrame([("a", "a"), ("b", "a"), ("c", "a"), ("d", "d")], "name string, entity string")
     assert sorted(rows(names.pairs(g))) == [("a", "b"), ("a", "c"), ("b", "c")]
