@@ -280,9 +280,46 @@ def message_flags(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "messages").select("nid", scalars.is_unread(flags).alias("unread"), scalars.has_attachments(F.col("has_attachments"), flags).alias("has_attachments"))
 
 
-@query("SELECT column_name, count FROM (SUMMARIZE messages)")
+@query(
+    """SELECT column_name, count, CASE WHEN column_type = 'TIMESTAMP' THEN left(min, 19) ELSE min END AS least, CASE WHEN column_type = 'TIMESTAMP' THEN left(max, 19) ELSE max END AS most,
+    CASE WHEN column_type IN ('BIGINT') THEN round(CAST(avg AS DOUBLE) / 1e6, 4) END AS mean, CASE WHEN column_type IN ('BIGINT') THEN round(CAST(std AS DOUBLE) / 1e3, 3) END AS spread, CAST(null_percentage AS DOUBLE) AS nulls FROM (SUMMARIZE messages)"""
+)
 def summarize_messages(spark: SparkSession, d: str) -> DataFrame:
-    return _views(spark, d).query("SUMMARIZE messages").select("column_name", "count")
+    """Approximate columns (quartiles, distinct values) are left to summarize_estimates."""
+    s = _views(spark, d).query("SUMMARIZE messages")
+    moment = F.col("column_type").startswith("timestamp")
+    short = lambda c: F.when(moment, F.substring(c, 1, 19)).otherwise(F.col(c))
+    return s.select(
+        "column_name", "count", short("min").alias("least"), short("max").alias("most"), F.round(F.col("avg").cast("double") / 1e6, 4).alias("mean"), F.round(F.col("std").cast("double") / 1e3, 3).alias("spread"), F.col("null_percentage").alias("nulls")
+    )
+
+
+@query(
+    """SELECT 'nid' AS column_name, true AS near_distinct, true AS between_quartiles UNION ALL SELECT 'size', true, true"""
+)
+def summarize_estimates(spark: SparkSession, d: str) -> DataFrame:
+    """Whether what SUMMARIZE estimates is near the exact value: distinct values within a tenth, quartiles within a hundredth of the ranks."""
+    m = table(spark, d, "messages")
+    s = _views(spark, d).query("SUMMARIZE messages").where("column_name IN ('nid', 'size')").select("column_name", "approx_unique", *[F.col(q).cast("double").alias(q) for q in ("q25", "q50", "q75")])
+    exact = [m.agg(F.lit(c).alias("c"), F.count_distinct(c).alias("n"), F.percentile(c, F.array(*[F.lit(p) for p in (0.24, 0.26, 0.49, 0.51, 0.74, 0.76)])).alias("p")) for c in ("nid", "size")]
+    both = s.join(exact[0].unionByName(exact[1]), F.col("c") == F.col("column_name"))
+    inside = lambda q, i: F.col(q).between(F.col("p")[i], F.col("p")[i + 1])
+    return both.select("column_name", (F.abs(F.col("approx_unique") - F.col("n")) <= 0.1 * F.col("n")).alias("near_distinct"), (inside("q25", 0) & inside("q50", 2) & inside("q75", 4)).alias("between_quartiles"))
+
+
+sql_query("approx_distinct", "SELECT abs(approx_count_distinct(sender_email) - count(DISTINCT sender_email)) <= 0.1 * count(DISTINCT sender_email) AS near FROM messages", "SELECT true AS near")
+sql_query(
+    "groups_frame",
+    "SELECT nid, count(*) OVER (PARTITION BY folder_nid ORDER BY batch_id GROUPS BETWEEN 1 PRECEDING AND CURRENT ROW) AS n FROM messages WHERE batch_id IS NOT NULL",
+    "SELECT nid, count(*) OVER (PARTITION BY folder_nid ORDER BY batch_id GROUPS BETWEEN 1 PRECEDING AND CURRENT ROW) AS n FROM messages WHERE batch_id IS NOT NULL",
+)
+sql_query(
+    "ignore_nulls_in_call",
+    "SELECT nid, last_value(subject IGNORE NULLS) OVER (PARTITION BY folder_nid ORDER BY nid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_subject FROM messages",
+)
+sql_query("lateral_counts", "SELECT f.nid, c.n FROM folders f, LATERAL (SELECT count(*) AS n FROM messages m WHERE m.folder_nid = f.nid) c")
+sql_query("sample_whole", "SELECT nid FROM messages TABLESAMPLE (100 PERCENT)", "SELECT nid FROM messages USING SAMPLE 100 PERCENT")
+sql_query("recursive_levels", "WITH RECURSIVE t(nid, n) AS (SELECT nid, 0 FROM folders WHERE parent_nid IS NULL UNION ALL SELECT f.nid, t.n + 1 FROM folders f JOIN t ON f.parent_nid = t.nid) SELECT nid, n FROM t")
 
 
 # What a caller's SQL reaches: each of these passes the guard

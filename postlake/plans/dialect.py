@@ -53,6 +53,49 @@ def special(sql: str) -> tuple[str, str] | None:
     return None
 
 
+_QUOTED = re.compile(r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`[^`]*`")
+
+
+def _outside_quotes(sql: str, change) -> str:
+    """The text with ``change`` made where it is no literal or quoted name."""
+    held: list[str] = []
+
+    def hold(m: re.Match) -> str:
+        held.append(m.group())
+        return f"\x00{len(held) - 1}\x00"
+
+    return re.sub(r"\x00(\d+)\x00", lambda m: held[int(m.group(1))], change(_QUOTED.sub(hold, sql)))
+
+
+def windows(sql: str) -> str:
+    """IGNORE NULLS inside a call moves behind it; GROUPS frames become RANGE frames over the number of the peer group.
+
+    A query with GROUPS frames is one SELECT over FROM and WHERE, its frames alike in nothing but their bounds or
+    not; the numbers are columns of a query below it.
+    """
+
+    def change(text: str) -> str:
+        text = re.sub(r"(?is)(\w+\s*\([^()]*?)\s+(ignore|respect)\s+nulls\s*\)", r"\1) \2 NULLS", text)
+        ranks: list[str] = []
+
+        def frame(m: re.Match) -> str:
+            part, order, bounds = m.group(1) or "", m.group(2), m.group(3)
+            rank = f"dense_rank() OVER ({part}ORDER BY {order.strip()})"
+            if rank not in ranks:
+                ranks.append(rank)
+            return f"OVER ({part}ORDER BY _group{ranks.index(rank)} RANGE {bounds}"
+
+        text = re.sub(r"(?is)\bover\s*\(\s*(partition\s+by\s+[^()]*?\s+)?order\s+by\s+([^()]*?)\s+groups\s+(between\b|unbounded\b|current\b|\d)", frame, text)
+        if not ranks:
+            return text
+        m = re.fullmatch(r"(?is)(\s*select\s.*?)\sfrom\s(.*?)((?:\sorder\s+by\s(?!.*\sfrom\s).*|\slimit\s.*)?)", text)
+        if not m:
+            return text
+        return f"{m.group(1)} FROM (SELECT *, {', '.join(f'{r} AS _group{i}' for i, r in enumerate(ranks))} FROM {m.group(2)}){m.group(3)}"
+
+    return _outside_quotes(sql, change)
+
+
 def qualify(sql: str) -> str:
     """A trailing QUALIFY becomes a filter on the select it stands in, its windows named columns."""
     # Words at bracket depth 0, outside quotes.

@@ -73,7 +73,7 @@ class Mailbox:
 
     def query(self, sql: str, args: list | dict | None = None) -> DataFrame:
         """A guarded query as a DataFrame."""
-        text = dialect.qualify(guard.check_read_only(sql))
+        text = dialect.qualify(dialect.windows(guard.check_read_only(sql)))
         other = dialect.special(text)
         if other:
             what, about = other

@@ -255,6 +255,17 @@ def test_guard_refuses(box, sql):
         box.sql(sql)
 
 
+def test_windows_of_the_other_dialect(box):
+    assert dialect.windows("select 'x groups between' from t") == "select 'x groups between' from t"
+    assert dialect.windows("select last_value(a ignore nulls) over (order by b) from t") == "select last_value(a) ignore NULLS over (order by b) from t"
+    box.spark.createDataFrame([(1, 1), (2, 1), (3, 5), (4, 9)], "nid long, b int").createOrReplaceTempView("folders")
+    try:
+        got = box.query("SELECT nid, sum(nid) OVER (ORDER BY b GROUPS BETWEEN 1 PRECEDING AND CURRENT ROW) AS s FROM folders ORDER BY nid")
+        assert one(got) == [(1, 3), (2, 3), (3, 6), (4, 7)]
+    finally:
+        box.register()
+
+
 def test_guard_text():
     assert guard.check_read_only("select 1 ;; ") == "select 1" and "messages" in RELATIONS
     assert dialect.qualify("select 1") == "select 1" and dialect.special("select 1") is None
