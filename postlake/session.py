@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -116,3 +117,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver collect what nothing points at: Spark drops the shuffle files of finished steps only then."""
+    gc.collect()
+    spark._jvm.System.gc()
