@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from postlake.llm.conversations import has_text, topic_key
 from postlake.llm.mailparts import HISTORY, NEW, QUOTE, parts
-from postlake.session import materialise
+from postlake.session import materialise, release
 
 #: Most differing bits, most edits a character, fewest characters of a sentence that is compared.
 BITS, EDITS, LEAST_CHARS = 3, 0.1, 25
@@ -198,14 +198,21 @@ def near(said: DataFrame, texts: DataFrame) -> DataFrame:
     said: talk, th, fp, num, us, a row for each text of a conversation, so that copies make no pairs; texts: th,
     text. The text is fetched only for what the fingerprints leave.
     """
-    # Both sides read the same shuffle.
-    d = tables(said.where("fp IS NOT NULL").select("talk", "th", "fp", "num", "us")).select("bucket", "talk", "th", "fp", "us").repartition("bucket")
+    # A text of a conversation has a hash of both as its name. Both sides read the same shuffle.
+    claim = F.xxhash64("talk", "th")
+    named = said.select(claim.alias("claim"), "talk", "th")
+    d = tables(said.where("fp IS NOT NULL").select("talk", claim.alias("claim"), "fp", "num", "us")).select("bucket", "claim", "fp", "us").repartition("bucket")
     a, b = d.alias("a"), d.alias("b")
-    pairs = a.join(b, F.col("a.bucket") == F.col("b.bucket")).where((F.col("a.th") != F.col("b.th")) & (F.col("b.us") < F.col("a.us")) & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= BITS))
-    pairs = materialise(pairs.select(F.col("a.talk").alias("talk"), F.col("a.th").alias("a"), F.col("b.th").alias("b"), F.col("b.us").alias("since")).distinct(), "near")
+    found = a.join(b, F.col("a.bucket") == F.col("b.bucket")).where((F.col("a.claim") != F.col("b.claim")) & (F.col("b.us") < F.col("a.us")) & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= BITS))
+    found = materialise(found.select(F.col("a.claim").alias("ca"), F.col("b.claim").alias("cb"), F.col("b.us").alias("since")).distinct(), "found")
+    few = found.count() <= BROADCAST_ROWS // 2
+    release(said.sparkSession)
+    claims = found.select(F.explode(F.array("ca", "cb")).alias("claim")).distinct()
+    of = materialise(named.join(F.broadcast(claims) if few else claims, "claim", "left_semi"), "claims")
+    pairs = found.join(of.select(F.col("claim").alias("ca"), "talk", F.col("th").alias("a")), "ca").join(of.select(F.col("claim").alias("cb"), F.col("th").alias("b")), "cb").select("talk", "a", "b", "since")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct()
     # Few hashes go to the texts; only more than that are worth a shuffle of all texts.
-    wanted = F.broadcast(wanted) if pairs.count() <= BROADCAST_ROWS // 2 else wanted
+    wanted = F.broadcast(wanted) if few else wanted
     words = materialise(texts.join(wanted, "th", "left_semi").groupBy("th").agg(F.first("text").alias("text")), "words")
     both = pairs.join(words.select(F.col("th").alias("a"), F.col("text").alias("ta")), "a").join(words.select(F.col("th").alias("b"), F.col("text").alias("tb")), "b")
     close = both.where(F.levenshtein("ta", "tb") <= EDITS * F.greatest(F.length("ta"), F.length("tb")))
@@ -225,9 +232,12 @@ def repeated(told: DataFrame) -> DataFrame:
     mine = F.when(F.col("own"), F.col("whole"))
     said = talk.groupBy("talk", "th").agg(F.min("us").alias("us"), F.max("us").alias("until"), F.first("fp").alias("fp"), F.first("num").alias("num"), F.max("own").alias("own"), F.coalesce(F.min(mine) != F.max(mine), F.lit(False)).alias("again"))
     said = materialise(said, "said")
+    release(told.sparkSession)
     first = near(said, told.select(F.explode(F.arrays_zip(F.col("sents.th").alias("th"), F.col("texts").alias("text"))).alias("t")).select("t.th", "t.text"))
-    since = said.select("talk", "th", "us", "until").join(first, ["talk", "th"], "left").select("talk", "th", F.least("us", "near").alias("since"), "until").where("until > since")
-    before = materialise(talk.select("nid", "talk", "us", "no", "own", "th").join(since.drop("until"), ["talk", "th"]).where("since < us").select("nid", "no", "own", "th"), "before")
+    claim = F.xxhash64("talk", "th").alias("claim")
+    since = said.select("talk", "th", "us", "until").join(first, ["talk", "th"], "left").select(claim, "th", F.least("us", "near").alias("since"), "until").where("until > since")
+    before = materialise(talk.select(claim, "nid", "us", "no", "own").join(since.drop("until"), "claim").where("since < us").select("nid", "no", "own", "th"), "before")
+    release(told.sparkSession)
     talks = said.select("talk").distinct().count()
     common = said.where("own AND fp IS NOT NULL").groupBy("th").agg(F.count("*").alias("n"), F.sum(F.col("again").cast("long")).alias("again"))
     common = common.where((F.col("n") >= COMMON_TALKS) & ((F.col("n") > 2 * F.col("again")) | (F.col("n") >= COMMON_SHARE * talks))).select("th")
@@ -240,6 +250,7 @@ def boilerplate(told: DataFrame) -> DataFrame:
     lines = told.where("who IS NOT NULL").select("nid", "who", F.coalesce("talk", "nid").alias("talk"), F.explode("plates").alias("p")).select("nid", "who", "talk", "p.line", "p.head", "p.mask")
     per = lines.groupBy("who", "mask").agg(F.count("*").alias("n"), F.sum(F.col("head").cast("long")).alias("h"), (F.min("talk") != F.max("talk")).alias("several"))
     per = materialise(per, "lines")
+    release(told.sparkSession)
     everywhere = per.groupBy("mask").agg(F.sum("n").alias("n"), F.sum("h").alias("h"), F.count("*").alias("senders"))
     stock = per.where((F.col("n") >= SENDER_MAILS) & F.col("several") & (F.col("h") <= MOST_FIRST * F.col("n"))).select("who", "mask")
     shared = everywhere.where((F.col("n") >= ALL_MAILS) & (F.col("senders") >= ALL_SENDERS) & (F.col("h") <= MOST_FIRST * F.col("n"))).select("mask")
@@ -260,6 +271,7 @@ def judged(messages: DataFrame, bodies: DataFrame, marks: bool = True) -> DataFr
     boilerplate if nothing new comes behind it.
     """
     told = materialise(read(mails_of(messages, bodies), marks), "parts")
+    release(told.sparkSession)
     hits = repeated(told).unionByName(boilerplate(told)).groupBy("nid").agg(F.collect_set("no").alias("hits"))
     d = told.select("nid", "marked", F.transform("sents", lambda s, i: F.struct(i.alias("no"), s["first"].alias("first"), s["last"].alias("last"), s["own"].alias("own"))).alias("sents"), F.transform("plates", lambda p: F.struct(p["line"].alias("line"), p["own"].alias("own"))).alias("plates"))
     d = d.join(hits, "nid", "left").withColumn("hits", F.coalesce("hits", F.array().cast("array<int>")))
