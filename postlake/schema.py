@@ -9,6 +9,7 @@ def _struct(*fields: tuple) -> T.StructType:
     return T.StructType([T.StructField(name, kind, null) for name, kind, null in fields])
 
 
+#: Names, order and types of the columns of each relation.
 FOLDERS = _struct(
     ("nid", _L, False), ("parent_nid", _L, True), ("name", _S, True), ("path", _S, False), ("item_count", _L, True),
     ("unread_count", _L, True), ("has_subfolders", _B, False), ("is_search_folder", _B, False),
@@ -37,11 +38,11 @@ HX_RECORDS = _struct(
     ("subject", _S, True), ("preview", _S, True), ("html", _S, True), ("sent_unix", _L, True),
 )
 
-#: Ids of the recovered folder and of the newest recovered message; the others count down from it.
+#: Ids of the recovered folder and of the newest recovered message; the others count down from it.
 RECOVERED_FOLDER = -1
 RECOVERED_BASE = -1_000_000
 
-#: What store_info tells of the relations.
+#: What store_info tells of the relations.
 TABLES = (
     "folders(nid, parent_nid, name, path, item_count, unread_count, has_subfolders, is_search_folder)",
     "messages(nid, folder_nid, folder_path, subject, sender_name, sender_email, delivered, submitted, modified, size, unread, has_attachments, message_class)",
