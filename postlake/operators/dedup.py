@@ -130,7 +130,7 @@ class IdentifierIndex:
 
     @property
     def size(self) -> int:
-        """Stored entries; an identifier of which a better copy came later counts once a run."""
+        """Stored entries at most: what a merge counted, and all identifiers of the batches since."""
         return sum(r["n"] for r in self.state["runs"])
 
     def _bits(self, size: int) -> int:
@@ -151,11 +151,13 @@ class IdentifierIndex:
             out = rows if out is None else out.unionByName(rows)
         return out
 
-    def _write(self, rows: DataFrame, bits: int) -> dict | None:
+    def _write(self, rows: DataFrame, bits: int, n: int | None = None) -> dict:
+        """A run; ``n`` is the most entries it may have, without it they are counted."""
         name = f"run-{self.state['version']:08d}"
         rows.write.option("compression", "zstd").partitionBy("shard").parquet(f"{self.path}/{name}")
-        n = self.spark.read.schema(RUN_SCHEMA).parquet(f"{self.path}/{name}").agg(F.sum("n")).first()[0]
-        return {"name": name, "bits": bits, "n": n} if n else None
+        if n is None:
+            n = self.spark.read.schema(RUN_SCHEMA).parquet(f"{self.path}/{name}").agg(F.sum("n")).first()[0] or 0
+        return {"name": name, "bits": bits, "n": n}
 
     def ingest(self, rows: DataFrame) -> None:
         """Take in rows (ident, delivered_us, nid).
@@ -188,8 +190,7 @@ class IdentifierIndex:
             # One row a prefix: those that are not touched are not read.
             touched = F.broadcast(local.select("shard").distinct())
             made = local.groupBy("shard").cogroup(stored.join(touched, "shard", "left_semi").groupBy("shard")).applyInPandas(probe, RUN_SCHEMA)
-        run = self._write(made, bits)
-        self._commit([*self.state["runs"], *([run] if run else [])])
+        self._commit([*self.state["runs"], self._write(made, bits, n)])
         if len(self.state["runs"]) > self.merge_every:
             self.merge()
 
