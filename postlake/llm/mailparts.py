@@ -6,6 +6,7 @@ Pure functions on one body; :mod:`postlake.llm.quoted` compares sentences across
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 NEW, QUOTE, INTRO, HISTORY, SIGN, NOTICE = "new", "quote", "intro", "history", "sign", "notice"
 
@@ -35,6 +36,7 @@ _NOTICE_KEYS = tuple(
     "confiden|privileg|disclaimer|intended|liability|responsib|expressed|environment|outside|often get|external|arrival|scanned|unsubscribe|receiv|digest|you get this|mailing list|all rights"
     "|enthält|vertraulich|adressat|vernichten|absender|umwelt|geschützt|réserv|courriel|environnement|expéditeur|correo|exclusivamente|destinatario|medio ambiente|remitente".split("|")
 )
+_KEY_WORDS = tuple((k, max(k.split(), key=len)) for k in _NOTICE_KEYS)
 _TAGLINE = re.compile(
     r"(?i)^\s*(?:sent (?:from|with|using|via) (?:my |a |the )?\S.*|get (?:the )?\S+(?: \S+)? (?:app )?for \S.*|von (?:meinem|meiner) .{1,40}gesendet\b.*|gesendet (?:mit|von|über) \S.*|envoyé (?:depuis|de|avec|à partir de) \S.*|enviado (?:desde|con|mediante) \S.*|inviato da \S.*|diese nachricht wurde von .{1,40} gesendet.*)$"
 )
@@ -60,9 +62,15 @@ def _name_like(line: str) -> bool:
     return all(w[0].isupper() for w in line.strip(" *\t").split() if w[0].isalpha())
 
 
-def _notice(text: str) -> bool:
+def _keys_of(body: str) -> list[str]:
+    """The keys that paragraphs of the body may hold. Of a key of several words, between which a line may end, the longest tells."""
+    low = body.lower()
+    return [k for k, word in _KEY_WORDS if word in low]
+
+
+def _notice(text: str, keys: Sequence[str] = _NOTICE_KEYS) -> bool:
     low = text.lower()
-    return any(k in low for k in _NOTICE_KEYS) and bool(_NOTICE.search(low))
+    return any(k in low for k in keys) and bool(_NOTICE.search(low))
 
 
 def _contact_block(rows: list[str]) -> bool:
@@ -74,20 +82,23 @@ def _contact_block(rows: list[str]) -> bool:
 
 def parts(body: str) -> list[str]:
     """The part of every line (split at LF); blank lines get ""."""
-    lines = [x.rstrip("\r") for x in body.split("\n")]
+    lines = body.split("\n")
+    if "\r" in body:
+        lines = [x.rstrip("\r") for x in lines]
     n = len(lines)
     blank = [not x.strip() for x in lines]
     kind = ["" if b else NEW for b in blank]
 
     # Quoted lines.
-    for i, x in enumerate(lines):
-        if not blank[i] and (">" in x or "|" in x) and _QUOTED.match(x):
-            kind[i] = QUOTE
+    if ">" in body or "|" in body:
+        for i, x in enumerate(lines):
+            if not blank[i] and (">" in x or "|" in x) and _QUOTED.match(x):
+                kind[i] = QUOTE
 
     # Introductions of quotes, on one line or two.
     cut = n
     for i, x in enumerate(lines):
-        if kind[i] != NEW or not x.rstrip().endswith(":"):
+        if ":" not in x or kind[i] != NEW or not x.rstrip().endswith(":"):
             continue
         first = -1
         if _INTRO.match(x):
@@ -135,6 +146,7 @@ def parts(body: str) -> list[str]:
             kind[k] = HISTORY
 
     # Paragraphs of what is left.
+    keys = _keys_of(body)
     i, signed, last_close = 0, False, False
     while i < n:
         if kind[i] != NEW:
@@ -148,11 +160,11 @@ def parts(body: str) -> list[str]:
         rows = lines[i:j]
         text = " ".join(r.strip() for r in rows)
         whole = None
-        if (len(rows) > 1 or len(text) < 400) and _notice(text):
+        if (len(rows) > 1 or len(text) < 400) and _notice(text, keys):
             whole = NOTICE
         elif _RULE.match(rows[0]) and len(rows) > 1:
             whole = SIGN if len(rows[0].strip()) < 8 or _contact_block(rows[1:]) else NOTICE
-            if len(rows[0].strip()) >= 8 and not _contact_block(rows[1:]) and len(text) > 600 and not _notice(text):
+            if len(rows[0].strip()) >= 8 and not _contact_block(rows[1:]) and len(text) > 600 and not _notice(text, keys):
                 whole = None
         elif _RULE.match(rows[0]) and len(rows) == 1:
             nxt = j
@@ -161,7 +173,7 @@ def parts(body: str) -> list[str]:
             end = nxt
             while end < n and kind[end] == NEW:
                 end += 1
-            if nxt < n and kind[nxt] == NEW and (_contact_block(lines[nxt:end]) or _notice(" ".join(lines[nxt:end]))):
+            if nxt < n and kind[nxt] == NEW and (_contact_block(lines[nxt:end]) or _notice(" ".join(lines[nxt:end]), keys)):
                 whole = SIGN
                 signed = True
         elif len(rows) == 1 and _TAGLINE.match(rows[0]) and len(rows[0]) < 80:

@@ -45,9 +45,11 @@ PARTS = (
     " texts array<string>, plates array<struct<line:int,own:boolean,head:boolean,mask:long>>"
 )
 _SIGNS = re.compile(r"^\s{0,3}(?:[A-Za-z]{0,4}[>|]\s?)+")
-_END = re.compile(r"(?<=[.!?])\s+")
+_STOP = re.compile(r"[.!?]\s+")
 _WORD = re.compile(r"\w+")
 _DIGITS = re.compile(r"\d+")
+#: What _WORD and lower() make of each byte of a text in ASCII: itself in lower case, or a space.
+_ASCII = bytes(ord(chr(i).lower()) if i < 128 and _WORD.match(chr(i)) else 32 for i in range(256))
 
 
 def _long(text: str) -> int:
@@ -55,27 +57,58 @@ def _long(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
 
 
+def _words(text: str) -> str:
+    """The words in lower case, one space between."""
+    if text.isascii():
+        return b" ".join(text.encode().translate(_ASCII).split()).decode()
+    return " ".join(_WORD.findall(text.lower()))
+
+
 @functools.lru_cache(maxsize=200_000)
-def _vector(word: str) -> bytes:
-    bits = np.unpackbits(np.frombuffer(hashlib.blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), np.uint8))
-    return (bits.astype(np.int8) * 2 - 1).tobytes()
+def _bits(word: str) -> bytes:
+    """The 64 bits of a word, a byte each."""
+    return np.unpackbits(np.frombuffer(hashlib.blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), np.uint8)).tobytes()
 
 
-def simhash(sentences: list[str]) -> np.ndarray:
-    """64-bit SimHash over the words of each sentence; one of no words has 0."""
+def _coded(sentences: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Number of words of each sentence, the distinct words, and the place among them of each word of each sentence."""
     words = [s.split() for s in sentences]
     counts = np.fromiter(map(len, words), np.int64, len(words))
     flat = list(chain.from_iterable(words))
-    if not flat:
-        return np.zeros(len(sentences), np.int64)
     ids = {w: i for i, w in enumerate(dict.fromkeys(flat))}
-    vectors = np.frombuffer(b"".join(map(_vector, ids)), np.int8).reshape(-1, 64)
-    index = np.fromiter(map(ids.__getitem__, flat), np.int64, len(flat))
-    out = np.zeros(len(sentences), np.int64)
+    return counts, list(ids), np.fromiter(map(ids.__getitem__, flat), np.int64, len(flat))
+
+
+def _simhash(counts: np.ndarray, vocabulary: list[str], index: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(counts), np.int64)
     some = np.flatnonzero(counts)
+    if not some.size:
+        return out
+    vectors = b"".join(map(_bits, vocabulary))
     starts = np.concatenate(([0], np.cumsum(counts[some])[:-1]))
-    sums = np.add.reduceat(vectors[index], starts, axis=0, dtype=np.int16)
-    out[some] = np.packbits(sums > 0, axis=1).view(">i8").ravel()
+    # Eight bits in one addition: up to 255 words no byte overflows.
+    ones = np.stack([np.add.reduceat(v[index], starts) for v in np.frombuffer(vectors, np.uint64).reshape(-1, 8).T.copy()], axis=1).view(np.uint8)
+    most = ones > (np.minimum(counts[some], 255) // 2).astype(np.uint8)[:, None]
+    bits = np.frombuffer(vectors, np.uint8).reshape(-1, 64)
+    for i in np.flatnonzero(counts[some] > 255):
+        n = counts[some[i]]
+        most[i] = 2 * bits[index[starts[i] : starts[i] + n]].sum(axis=0, dtype=np.int64) > n
+    out[some] = np.packbits(most, axis=1).view(">i8").ravel()
+    return out
+
+
+def simhash(sentences: list[str]) -> np.ndarray:
+    """64-bit SimHash over the words of each sentence; one of no words has 0."""
+    return _simhash(*_coded(sentences))
+
+
+def _numbers(counts: np.ndarray, vocabulary: list[str], index: np.ndarray) -> np.ndarray:
+    """A hash of the words of each sentence that are not letters only, in their order."""
+    out = np.full(len(counts), _long(""), np.int64)
+    at = np.flatnonzero(np.fromiter((not w.isalpha() for w in vocabulary), bool, len(vocabulary))[index])
+    rows, starts = np.unique(np.repeat(np.arange(len(counts)), counts)[at], return_index=True)
+    words, ends = [vocabulary[i] for i in index[at].tolist()], [*starts[1:].tolist(), len(at)]
+    out[rows] = [_long(" ".join(words[i:j])) for i, j in zip(starts.tolist(), ends)]
     return out
 
 
@@ -100,24 +133,23 @@ def sentences(lines: list[str], kinds: list[str]) -> list[tuple[int, int, bool,
             starts.append(length)
             pieces.append(line)
             length += len(line) + 1
+        text = " ".join(pieces)
         row, pos, rows = 0, 0, len(starts)
-        for s in _END.split(" ".join(pieces)):
-            end = pos + len(s)
-            while row + 1 < rows and starts[row + 1] <= pos:
-                row += 1
-            last = row
-            while last + 1 < rows and starts[last + 1] < end:
-                last += 1
-            if len(s) >= LEAST_CHARS:
-                words = " ".join(_WORD.findall(s.lower()))
-                if len(words) >= LEAST_CHARS:
-                    out.append((first + row + 1, first + last + 1, own, words))
-            pos = end + 1
+        for end, after in [*((m.start() + 1, m.end()) for m in _STOP.finditer(text)), (len(text), 0)]:
+            words = _words(text[pos:end]) if end - pos >= LEAST_CHARS else ""
+            if len(words) >= LEAST_CHARS:
+                while row + 1 < rows and starts[row + 1] <= pos:
+                    row += 1
+                last = row
+                while last + 1 < rows and starts[last + 1] < end:
+                    last += 1
+                out.append((first + row + 1, first + last + 1, own, words))
+            pos = after
     return out
 
 
 def plate_lines(lines: list[str], kinds: list[str]) -> list[tuple[int, bool, bool, str]]:
-    """(line, own, in the first paragraph, text without digits) of the lines that are no quotation and hold a word."""
+    """(line, own, in the first paragraph, its words) of the lines that are no quotation and not blank."""
     out, paragraph, gap = [], 0, False
     for i, k in enumerate(kinds):
         if not k:
@@ -125,8 +157,7 @@ def plate_lines(lines: list[str], kinds: list[str]) -> list[tuple[int, bool, boo
             continue
         paragraph, gap = paragraph + (gap and bool(i)), False
         if k not in (QUOTE, HISTORY):
-            words = " ".join(_WORD.findall(lines[i].lower()))
-            out.append((i + 1, k == NEW, paragraph == 0, _DIGITS.sub("0", words)))
+            out.append((i + 1, k == NEW, paragraph == 0, _words(lines[i])))
     return out
 
 
@@ -148,15 +179,16 @@ def read(mails: DataFrame, marks: bool = True) -> DataFrame:
                 lines = body.split("\n")
                 kinds = parts(body) if marks else _unmarked(lines)
                 marked.append([i for i, k in enumerate(kinds, 1) if k and k != NEW])
-                wholes.append(_long(" ".join(_WORD.findall(" ".join([x for x, k in zip(lines, kinds) if k == NEW]).lower()))))
                 sents.append(sentences(lines, kinds))
                 plates.append(plate_lines(lines, kinds))
+                # Lines without a mark are all among these.
+                wholes.append(_long(" ".join([p[3] for p in plates[-1] if p[1] and p[3]])))
             flat = list(chain.from_iterable(sents))
             texts = [s[3] for s in flat]
-            numbers = [_long(" ".join([w for w in t.split() if not w.isalpha()])) for t in texts]
-            columns = [pa.array([s[i] for s in flat], _SENTENCE.field(i).type) for i in range(3)] + [pa.array(simhash(texts)), pa.array(numbers, pa.int64()), pa.array(list(map(_long, texts)), pa.int64())]
+            coded = _coded(texts)
+            columns = [pa.array([s[i] for s in flat], _SENTENCE.field(i).type) for i in range(3)] + [pa.array(_simhash(*coded)), pa.array(_numbers(*coded)), pa.array(list(map(_long, texts)), pa.int64())]
             lines_flat = list(chain.from_iterable(plates))
-            line_columns = [pa.array([p[i] for p in lines_flat], _LINE.field(i).type) for i in range(3)] + [pa.array([_long(p[3]) for p in lines_flat], pa.int64())]
+            line_columns = [pa.array([p[i] for p in lines_flat], _LINE.field(i).type) for i in range(3)] + [pa.array([_long(_DIGITS.sub("0", p[3])) for p in lines_flat], pa.int64())]
             offsets = lambda xs: pa.array(np.concatenate(([0], np.cumsum([len(x) for x in xs]))), pa.int32())
             at = offsets(sents)
             yield pa.RecordBatch.from_arrays(

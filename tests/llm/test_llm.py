@@ -1,7 +1,12 @@
+import hashlib
 import random
+import re
+import time
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -387,6 +392,74 @@ def test_simhash_is_near_for_near_sentences():
     assert bits(a, b) < bits(a, c) and none == 0 and quoted.simhash([]).size == 0
 
 
+def reader(marks=True):
+    """What reads the batches of mails, without Spark."""
+    return quoted.read(SimpleNamespace(mapInArrow=lambda run, _: run), marks)
+
+
+def batch_of(bodies):
+    ids = pa.array(range(len(bodies)), pa.int64())
+    return pa.RecordBatch.from_arrays([ids, ids, ids, ids, pa.array(bodies, pa.string())], ["nid", "talk", "who", "us", "body_plain"])
+
+
+def test_simhash_of_long_sentences_against_plain_sums():
+    rnd = random.Random(3)
+    said = [" ".join(rnd.choice(["store", "index", "mail", "window", "ß", "12"]) for _ in range(n)) for n in (1, 2, 7, 254, 255, 256, 257, 1000)]
+    said += ["index " * 40_000 + "mail", "", "store"]
+    for s, got in zip(said, quoted.simhash(said)):
+        sums = np.zeros(64, np.int64)
+        for w, n in Counter(s.split()).items():
+            sums += n * (2 * np.unpackbits(np.frombuffer(hashlib.blake2b(w.encode(), digest_size=8).digest(), np.uint8)).astype(np.int64) - 1)
+        assert got == np.packbits(sums > 0).view(">i8")[0], s[:40]
+
+
+def test_sentences_lie_on_their_lines_whatever_the_gap():
+    text = "One. Two!  Three?   The list of the shelves was moved.  \tNobody has the new list so far.\nThe third office has been closed since."
+    got = quoted.sentences(text.split("\n"), ["new", "new"])
+    assert [(a, b) for a, b, _, _ in got] == [(1, 1), (1, 1), (2, 2)]
+
+
+def test_the_reader_against_plain_expressions():
+    odd = ["ΟΔΟΣ ΣΑΣ ist GRÜẞE und İstanbul ſo lang wie nötig.", "foo_bar 12３ ²½ and v2.0 of the k-th list on 3 May 2024.", "a\x1cb\x85c all of these words are apart, I hope.", MAIL, MAIL.replace("\n", "\r\n"), "\n-- \n!!!\n...", "x"]
+    for marks in (True, False):
+        (out,) = reader(marks)(iter([batch_of(odd)]))
+        for body, row in zip(odd, out.to_pylist()):
+            lines = body.split("\n")
+            kinds = mailparts.parts(body) if marks else ["new" if x.strip() else "" for x in lines]
+            plain = lambda x: " ".join(re.findall(r"\w+", x.lower()))
+            assert row["whole"] == quoted._long(plain(" ".join(x for x, k in zip(lines, kinds) if k == "new")))
+            assert [p["mask"] for p in row["plates"]] == [quoted._long(re.sub(r"\d+", "0", plain(x))) for x, k in zip(lines, kinds) if k and k not in ("quote", "history")]
+            for s, t in zip(row["sents"], row["texts"], strict=True):
+                assert s["th"] == quoted._long(t) and s["num"] == quoted._long(" ".join(w for w in t.split() if not w.isalpha()))
+
+
+def test_a_notice_is_found_where_its_words_are_wrapped():
+    for notice in ("If you do not\n  often\n  get mail from this sender, take care.", "Sent to all on the mailing\r\nlist", "You\nget this digest once a week.", "ALL\nRIGHTS\nRESERVED"):
+        lines = f"Hello,\n\nthe list was moved.\n\n{notice}".split("\n")
+        assert mailparts.parts("\n".join(lines))[4:] == ["notice"] * (len(lines) - 4), notice
+
+
+def test_reading_costs_few_passes_over_the_text():
+    """CPU time of reading in passes of one plain expression over the same mails: 9.2 to 9.6 before, 6.3 to 6.7 since."""
+    rnd = random.Random(4)
+    words = [f"{a}{b}" for a in "store index mail window closed open ready folder shelf office".split() for b in ("", "s", "ed", "ing", "2", "er")]
+    line = lambda: (" ".join(rnd.choice(words) for _ in range(rnd.randint(4, 14))) + rnd.choice(["", ".", ". " + rnd.choice(words)])).capitalize()
+    text = lambda n, sign="": "\n".join(sign + line() if rnd.random() < 0.85 else "" for _ in range(n))
+    bodies = [f"Hi {rnd.choice(words)},\n\n{text(5)}\n\nKind regards\nAnn\n\nOn {i}/2/2024, Bob wrote:\n{text(6, '> ')}" for i in range(3000)]
+    run, batch, word = reader(), batch_of(bodies), re.compile(r"\w+")
+
+    def cpu(f):
+        took = []
+        for _ in range(4):
+            since = time.process_time()
+            f()
+            took.append(time.process_time() - since)
+        return min(took)
+
+    ratio = cpu(lambda: list(run(iter([batch])))) / cpu(lambda: [" ".join(word.findall(b.lower())) for b in bodies])
+    assert ratio < 8, ratio
+
+
 def test_history_without_marks_is_found_by_its_sentences(spark):
     first = "Hello Bob,\n\nthe archive of the northern office was moved to another building last spring. Nobody has the new list of the shelves so far. Please ask them for it."
     reply = "Hello Ann,\n\nI did ask them and they have promised to answer.\n\nthe archive of the northern  office was moved to another building last spring.\nNobody has the new list of the shelves, so far."
